@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from threadloom.llm import decontaminate, packing, quality, simhash
+from threadloom.llm import decontaminate, packing, pii, quality, simhash
 
 
 def queries() -> dict:
     return {
+        "op1_surrogates": pii.op1_query,
         "op5_winnowing": decontaminate.op5_query,
         "op6_decision_list": quality.op6_query,
         "op7_simhash_tiles": simhash.op7_query,
