@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadloom.llm import decontaminate, packing, pii, quality, simhash
+from threadloom.llm import decontaminate, licenses, packing, pii, quality, simhash
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op6_decision_list": quality.op6_query,
         "op7_simhash_tiles": simhash.op7_query,
         "op8_best_fit_packing": packing.op8_query,
+        "op9_license_rules": licenses.op9_query,
     }
 
 
