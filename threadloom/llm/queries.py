@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from threadloom.llm import decontaminate, licenses, packing, pii, quality, simhash
+from threadloom.llm import decontaminate, licenses, packing, pii, quality, sharding, simhash, urls
 
 
 def queries() -> dict:
     return {
         "op1_surrogates": pii.op1_query,
+        "op2_url_rules": urls.op2_query,
+        "op3_virtual_slots": sharding.op3_query,
         "op5_winnowing": decontaminate.op5_query,
         "op6_decision_list": quality.op6_query,
         "op7_simhash_tiles": simhash.op7_query,
