@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadloom.llm import decontaminate, licenses, packing, pii, quality, sharding, simhash, urls
+from threadloom.llm import decontaminate, html, licenses, packing, pii, quality, sharding, simhash, urls
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_surrogates": pii.op1_query,
         "op2_url_rules": urls.op2_query,
         "op3_virtual_slots": sharding.op3_query,
+        "op4_block_rules": html.op4_query,
         "op5_winnowing": decontaminate.op5_query,
         "op6_decision_list": quality.op6_query,
         "op7_simhash_tiles": simhash.op7_query,
