@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadloom.llm import decontaminate, html, licenses, packing, pii, quality, sharding, simhash, urls
+from threadloom.llm import decontaminate, html, licenses, packing, pii, quality, repeats, sharding, simhash, urls
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         "op7_simhash_tiles": simhash.op7_query,
         "op8_best_fit_packing": packing.op8_query,
         "op9_license_rules": licenses.op9_query,
+        "op10_cover_names": repeats.op10_query,
     }
 
 
