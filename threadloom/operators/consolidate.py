@@ -70,7 +70,7 @@ def canonical(posts: DataFrame) -> DataFrame:
     without author takes the name its replies use.
     """
     ided = posts.where(scalar.valid_id("id")).withColumn("num", F.col("id").cast("bigint"))
-    order = [(F.col("tweet_type") == "like").asc(), F.length(F.coalesce("full_text", F.lit(""))).desc(), F.col("archive_file").asc_nulls_last(), F.col("tweet_type").asc(), F.col("user_id").asc_nulls_last()]
+    order = [(F.col("tweet_type") == "like").asc(), F.length(F.coalesce("full_text", F.lit(""))).desc(), F.col("archive_file").asc_nulls_last(), F.col("tweet_type").asc(), F.col("user_id").asc_nulls_last(), F.col("full_text").asc_nulls_last(), F.col("created_at").asc_nulls_last()]
     best = ided.withColumn("rn", F.row_number().over(Window.partitionBy("num").orderBy(*order))).where("rn = 1")
     parent = F.when(scalar.valid_id("in_reply_to_status_id"), F.col("in_reply_to_status_id").cast("bigint"))
     edges = ided.select(parent.alias("num"), F.col("num").alias("child"), "in_reply_to_screen_name").where("num is not null")
