@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadloom.llm import decontaminate, html, licenses, packing, pii, quality, repeats, sharding, simhash, urls
+from threadloom.llm import decontaminate, html, licenses, packing, pii, quality, repeats, sharding, simhash, sql, urls
 
 
 def queries() -> dict:
@@ -21,4 +21,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Only what SQL can express; the others are tested by brute force."""
+    return {"op5_winnowing": sql.DECONTAMINATION}
