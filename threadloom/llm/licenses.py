@@ -55,23 +55,23 @@ apache-2.0 | apache-2.0 licen | apache-2\.0 licen[sc]e
 apache-2.0 | apache 2.0 licen | apache 2\.0 licen[sc]e
 apache | apache licen | apache licen[sc]e
 apache | apache software licen | apache software licen[sc]e
-agpl-1.0 | affero general public licen | affero general public licen[sc]e,? (?:version |v)?1(?:\.0)?
-agpl-3.0 | affero general public licen | affero general public licen[sc]e,? (?:version |v)?3(?:\.0)?
+agpl-1.0 | affero general public licen | (?:gnu )?affero general public licen[sc]e,? (?:version |v)?1(?:\.0)?
+agpl-3.0 | affero general public licen | (?:gnu )?affero general public licen[sc]e,? (?:version |v)?3(?:\.0)?
 agpl | affero general public licen | (?:gnu )?affero general public licen[sc]e
 agpl-3.0 | agplv3 | agplv3\+?
 agpl-3.0 | agpl-3.0 | agpl-3\.0(?:-only|-or-later)?
-lgpl-2.0 | general public licen | (?:lesser|library) general public licen[sc]e,? (?:version |v)?2(?:\.0)?
-lgpl-2.1 | general public licen | (?:lesser|library) general public licen[sc]e,? (?:version |v)?2\.1
-lgpl-3.0 | general public licen | lesser general public licen[sc]e,? (?:version |v)?3(?:\.0)?
+lgpl-2.0 | general public licen | (?:gnu )?(?:lesser|library) general public licen[sc]e,? (?:version |v)?2(?:\.0)?
+lgpl-2.1 | general public licen | (?:gnu )?(?:lesser|library) general public licen[sc]e,? (?:version |v)?2\.1
+lgpl-3.0 | general public licen | (?:gnu )?lesser general public licen[sc]e,? (?:version |v)?3(?:\.0)?
 lgpl | general public licen | (?:gnu )?(?:lesser|library) general public licen[sc]e
 lgpl-2.1 | lgplv2.1 | lgplv2\.1\+?
 lgpl-2.1 | lgpl-2.1 | lgpl-2\.1(?:-only|-or-later)?
 lgpl-3.0 | lgplv3 | lgplv3\+?
 lgpl-3.0 | lgpl-3.0 | lgpl-3\.0(?:-only|-or-later)?
-gpl-1.0 | general public licen | gnu general public licen[sc]e,? (?:version |v)?1(?:\.0)?
-gpl-2.0 | general public licen | gnu general public licen[sc]e,? (?:version |v)?2(?:\.0)?
-gpl-3.0 | general public licen | gnu general public licen[sc]e,? (?:version |v)?3(?:\.0)?
-gpl | general public licen | gnu general public licen[sc]e
+gpl-1.0 | general public licen | (?:gnu )?general public licen[sc]e,? (?:version |v)?1(?:\.0)?
+gpl-2.0 | general public licen | (?:gnu )?general public licen[sc]e,? (?:version |v)?2(?:\.0)?
+gpl-3.0 | general public licen | (?:gnu )?general public licen[sc]e,? (?:version |v)?3(?:\.0)?
+gpl | general public licen | (?:gnu )?general public licen[sc]e
 gpl | gnu gpl | gnu gpl
 gpl-2.0 | gplv2 | gplv2\+?
 gpl-2.0 | gpl-2.0 | gpl-2\.0(?:-only|-or-later)?
