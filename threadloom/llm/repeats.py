@@ -244,7 +244,7 @@ def repeated_spans(docs: DataFrame, cover: Cover = Cover()) -> DataFrame:
 
     ``docs`` comes from ``keyed``.
     """
-    assert cover.reach + cover.k - 1 <= cover.length
+    assert cover.reach + cover.k - 1 <= cover.length and cover.block <= cover.length
     texts = docs.select("text", "k1", "k2").where(F.octet_length("text") >= cover.length)
     first = written(_sampled(texts, cover), "cover")
     whole, open1 = _settle(first, ("a", "lo", "hi"), "cover")
