@@ -36,7 +36,7 @@ def thread_members(roots: DataFrame) -> DataFrame:
 
 def markdown_thread(roots: DataFrame) -> DataFrame:
     """``root_id, line``: each thread as a Markdown document, raw text."""
-    dated = lambda t: F.when(t["at"] > F.lit("0001-01-01").cast("timestamp"), F.concat(F.lit("## "), scalar.posted(t["at"]), F.lit("\n\n"))).otherwise("")
+    dated = lambda t: F.when(t["at"].isNotNull(), F.concat(F.lit("## "), scalar.posted(t["at"]), F.lit("\n\n"))).otherwise("")
     body = _joined(F.col("all"), lambda t: F.concat(F.coalesce(dated(t), F.lit("")), F.coalesce(t["text"], F.lit("")), F.lit("\n\n")))
     head = F.concat(F.lit("# Thread started on "), scalar.posted("root_at"), F.lit("\n\n"))
     return thread_members(roots).select("root_id", F.concat(F.coalesce(head, F.lit("")), body).alias("line"))
@@ -59,7 +59,7 @@ def jsonl_thread(roots: DataFrame, system: str | None = SYSTEM) -> DataFrame:
 
 def chat_thread(roots: DataFrame, system: str | None = SYSTEM) -> DataFrame:
     """Roles in turn, each text with the time of its posting; one record a thread."""
-    said = lambda t: F.concat(F.coalesce(t["text"], F.lit("")), F.when(t["at"] > F.lit("0001-01-01").cast("timestamp"), F.concat(F.lit("\n[Posted on "), scalar.posted(t["at"]), F.lit("]"))).otherwise(""))
+    said = lambda t: F.concat(F.coalesce(t["text"], F.lit("")), F.when(t["at"].isNotNull(), F.concat(F.lit("\n[Posted on "), scalar.posted(t["at"]), F.lit("]"))).otherwise(""))
     turns = F.transform("all", lambda t, i: _turn(F.when(i % 2 == 0, "user").otherwise("assistant"), F.coalesce(said(t), t["text"])))
     return thread_members(roots).select("root_id", _messages(system, turns).alias("line"))
 

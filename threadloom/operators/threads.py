@@ -15,8 +15,8 @@ from threadloom.operators.durable import written
 def direct_threads(posts: DataFrame) -> DataFrame:
     """Roots without parent that have replies, with their direct replies in time."""
     replies = posts.where("parent_id is not null").groupBy(F.col("parent_id").alias("root_id")).agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("created_at", F.lit("0001-01-01").cast("timestamp")).alias("at"), "id", "text"))).alias("replies")
-    )
+        F.array_sort(F.collect_list(F.struct(F.col("created_at").isNotNull().alias("dated"), F.col("created_at").alias("at"), "id", "text"))).alias("replies")
+    ).withColumn("replies", F.transform("replies", lambda r: r.dropFields("dated")))  # undated ones came first
     roots = posts.where("parent_id is null").select(F.col("id").alias("root_id"), F.col("text").alias("root_text"), F.col("created_at").alias("root_at"))
     return roots.join(replies, "root_id").withColumn("length", (F.size("replies") + 1).cast("long"))
 

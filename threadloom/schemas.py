@@ -28,7 +28,7 @@ NOTE = _struct(
     noteTweetId=S, createdAt=S, updatedAt=S,
     core=_struct(text=S, urls=_list(shortUrl=S, expandedUrl=S, expanded_url=S, displayUrl=S, fromIndex=S, toIndex=S), mentions=_list(screenName=S), hashtags=T.ArrayType(S)),
 )
-LIKE = _struct(tweetId=S, tWeetId=S, fullText=S, expandedUrl=S)
+LIKE = _struct(tweetId=S, fullText=S, expandedUrl=S)
 _PROFILE_BODY = dict(
     id=S, userName=S, screen_name=S, displayName=S, name=S, handle=S, userInformations=_struct(id=S, userName=S, displayName=S),
     description=_struct(bio=S, website=S, location=S), avatarMediaUrl=S, headerMediaUrl=S,

@@ -23,7 +23,8 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*_archive.json")
 
 
 def parse_archives(files: DataFrame) -> DataFrame:
-    parsed = F.from_json("raw", schemas.ARCHIVE, {"mode": "PERMISSIVE"})
+    repaired = F.replace("raw", F.lit('"tWeetId"'), F.lit('"tweetId"'))  # some archives misspell it
+    parsed = F.from_json(repaired, schemas.ARCHIVE, {"mode": "PERMISSIVE"})
     shape = F.try_parse_json("raw")
     return files.select(
         "archive_file",
@@ -134,7 +135,7 @@ def _likes(owned: DataFrame) -> DataFrame:
     link = _filled(p["expandedUrl"])
     none = F.array().cast("array<string>")
     return _exploded(owned, "like", "like").select(
-        *_row("like", id=_or_empty(F.coalesce(p["tweetId"], p["tWeetId"])), full_text=_or_empty(p["fullText"]), favorited=F.lit(True), urls=F.when(link.isNotNull(), F.array(link)).otherwise(none))
+        *_row("like", id=_or_empty(p["tweetId"]), full_text=_or_empty(p["fullText"]), favorited=F.lit(True), urls=F.when(link.isNotNull(), F.array(link)).otherwise(none))
     )
 
 

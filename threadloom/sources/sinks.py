@@ -16,8 +16,9 @@ def parquet(df: DataFrame, path: str, rows_per_file: int = 100_000, mode: str =
 
 
 def by_user(df: DataFrame, path: str, user: str = "user_screen_name") -> None:
-    """One folder a user, by file-safe names."""
-    df.withColumn("user_safe", scalar.safe_name(F.coalesce(F.col(user), F.lit("")))).repartition("user_safe").write.mode("overwrite").partitionBy("user_safe").parquet(path)
+    """One folder a user, by file-safe names; rows without a name go to ``_``."""
+    named = scalar.safe_name(F.coalesce(F.nullif(F.col(user), F.lit("")), F.lit("_")))
+    df.withColumn("user_safe", named).repartition("user_safe").write.mode("overwrite").partitionBy("user_safe").parquet(path)
 
 
 def lines(df: DataFrame, path: str, column: str = "line", single: bool = False) -> None:
