@@ -85,48 +85,34 @@ class _Tiles:
         self.by_total = {int(t): np.flatnonzero(self.total == t) for t in np.unique(self.total)}
 
 
-def _near_pairs(a: _Tiles, b: _Tiles, same: bool, radius: int, budget: int = 1 << 22):
-    """Yields index arrays (into a.fps, b.fps) of pairs within the radius."""
+def _near_pairs(a: _Tiles, b: _Tiles, same: bool, radius: int, budget: int = 1 << 20):
+    """Yields index arrays (into a.fps, b.fps) of pairs within the radius.
+
+    A tile of ``a`` meets all tiles of ``b`` that it cannot skip at once, in
+    matrices of at most ``budget`` pairs.
+    """
     for total, mine in a.by_total.items():
         near = [b.by_total[t] for t in range(total - radius, total + radius + 1) if t in b.by_total]
         if not near:
             continue
-        theirs = np.concatenate(near)
-        step = max(1, budget // (4 * len(theirs)))
-        for at in range(0, len(mine), step):
-            part = mine[at : at + step]
-            apart = np.abs(a.vectors[part][:, None, :] - b.vectors[theirs][None, :, :]).sum(axis=2)
-            i, j = np.nonzero(apart <= radius)
-            i, j = part[i], theirs[j]
-            if same:
-                i, j = i[i <= j], j[i <= j]
-            yield from _compare(a, b, i, j, radius, budget)
-
-
-def _compare(a: _Tiles, b: _Tiles, i: np.ndarray, j: np.ndarray, radius: int, budget: int):
-    na, nb = a.last[i] - a.first[i], b.last[j] - b.first[j]
-    sizes = na * nb
-    at = 0
-    while at < len(i):
-        if sizes[at] > budget:  # one pair of large tiles: rows of the first in turn
-            rows = max(1, budget // int(nb[at]))
-            other = b.fps[b.first[j[at]] : b.last[j[at]]]
-            for lo in range(int(a.first[i[at]]), int(a.last[i[at]]), rows):
-                hi = min(lo + rows, int(a.last[i[at]]))
-                x, y = np.nonzero(np.bitwise_count(a.fps[lo:hi, None] ^ other[None, :]) <= radius)
-                yield x + lo, y + int(b.first[j[at]])
-            at += 1
-            continue
-        stop = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), budget, "right")))
-        s = sizes[at:stop]
-        begin = np.cumsum(s) - s
-        k = np.arange(int(s.sum())) - np.repeat(begin, s)
-        width = np.repeat(nb[at:stop], s)
-        x = np.repeat(a.first[i[at:stop]], s) + k // width
-        y = np.repeat(b.first[j[at:stop]], s) + k % width
-        hit = np.bitwise_count(a.fps[x] ^ b.fps[y]) <= radius
-        yield x[hit], y[hit]
-        at = stop
+        theirs = np.sort(np.concatenate(near))
+        vectors, first, sizes = b.vectors[theirs], b.first[theirs], (b.last - b.first)[theirs]
+        for i in mine.tolist():
+            apart = np.abs(vectors - a.vectors[i]).sum(axis=1)
+            meet = np.flatnonzero((apart <= radius) & (theirs >= i) if same else apart <= radius)
+            if not len(meet):
+                continue
+            n = sizes[meet]
+            rows = np.repeat(first[meet] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            other = b.fps[rows]
+            lo, hi = int(a.first[i]), int(a.last[i])
+            for y0 in range(0, len(rows), budget):
+                part = other[y0 : y0 + budget]
+                step = max(1, budget // len(part))
+                for x0 in range(lo, hi, step):
+                    x, y = np.nonzero(np.bitwise_count(a.fps[x0 : min(hi, x0 + step), None] ^ part[None, :]) <= radius)
+                    if len(x):
+                        yield x + x0, rows[y + y0]
 
 
 def _merge(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
@@ -236,7 +222,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, text_col
     rooted = written(kinds.join(found.withColumnRenamed("node", "fp"), "fp"), "simhash-rooted")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    of = kinds.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    of = written(kinds.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "simhash-of")
     return marks.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
