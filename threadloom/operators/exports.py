@@ -92,3 +92,8 @@ def file_name(username: str, form: str) -> str:
     if form not in ENDINGS:
         raise ValueError(f"unknown format: {form}")
     return f"{username}_{form}.{ENDINGS[form]}"
+
+
+def canonical_json(posts: DataFrame) -> DataFrame:
+    """Canonical posts as JSON records, newest first by ``at``."""
+    return posts.select(F.col("created_at").alias("at"), "id", F.to_json(F.struct(*posts.columns), {"ignoreNullFields": "false"}).alias("line")).orderBy(F.desc_nulls_last("at"), "id")

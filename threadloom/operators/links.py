@@ -66,3 +66,32 @@ def categories(urls: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value")
     return counted.limit(top) if top else counted
+
+
+def overall(urls: DataFrame) -> DataFrame:
+    """The report's first figures: rows, distinct urls, sites and accounts."""
+    inside, short = links.is_internal("url"), links.is_shortener("raw_domain")
+    return urls.agg(
+        F.count("*").alias("urls"), F.count_distinct("url").alias("unique_urls"), F.count_distinct("domain").alias("unique_domains"), F.count_distinct("username").alias("accounts"),
+        F.count_if(inside).alias("internal"), F.count_if(short).alias("unresolved"), F.count_if(~inside & ~short).alias("external"),
+    )
+
+
+def external_domains(urls: DataFrame, top: int = 20) -> DataFrame:
+    """The most frequent sites linked to, without internal and short links."""
+    return value_counts(categories(urls).where("category = 'external'"), "domain", top)
+
+
+def fetch_pages(urls: DataFrame, fetched: DataFrame, fetch: Callable, schema: str) -> DataFrame:
+    """Pages of the distinct urls that ``fetched (url)`` lacks, by ``fetch``.
+
+    ``fetch`` is a ``mapInPandas`` function: one call a batch, so it can hold
+    connections and limits of its own.
+    """
+    todo = urls.select("url").where(links.is_absolute("url")).distinct().join(fetched.select("url").distinct(), "url", "left_anti")
+    return todo.withColumn("handler", links.handler("url")).mapInPandas(fetch, schema)
+
+
+def fetch_records(pages: DataFrame) -> DataFrame:
+    """Page results as JSON records under the digest of their url."""
+    return pages.select(F.sha2("url", 256).alias("key"), F.to_json(F.struct(*pages.columns), {"ignoreNullFields": "false"}).alias("record"))

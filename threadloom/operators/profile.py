@@ -129,3 +129,15 @@ def text_profile(docs: DataFrame, by: str, text: str = "text") -> DataFrame:
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.array_join(F.array_sort(F.collect_set(column)), ", ").alias("values"))
+
+
+def array_lengths(df: DataFrame, column: str, by: str) -> DataFrame:
+    """Entries of an array column, or of a JSON array in a string column."""
+    n = F.json_array_length(column) if df.schema[column].dataType.simpleString() == "string" else F.size(column)
+    n = F.coalesce(n, F.lit(0))
+    return df.groupBy(by).agg(F.count("*").alias("n"), F.sum(n).alias("entries"), F.count_if(n > 0).alias("with_entries"), F.max(n).alias("most"))
+
+
+def rows_with(df: DataFrame, column: str, value) -> DataFrame:
+    """Rows of one value, by a bound parameter."""
+    return df.sparkSession.sql(f"SELECT * FROM {{t}} WHERE `{column}` = :value", args={"value": value}, t=df)

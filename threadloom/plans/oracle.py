@@ -151,6 +151,16 @@ ORACLE: dict[str, str] = {
     "section_union": f"WITH {_SRC} SELECT CASE tweet_type WHEN 'note_tweet' THEN 'note' WHEN 'community_tweet' THEN 'community' ELSE 'tweet' END AS kind, count(*) AS n, count(DISTINCT id) AS ids FROM src WHERE tweet_type <> 'like' AND id IS NOT NULL GROUP BY 1",
 }
 
+_REP = f"{_CASES}, rep AS (SELECT doc_id, url, CAST(doc_id % 5 AS VARCHAR) AS username, {_site(_part('url', 2))} AS domain FROM cases)"
+ORACLE |= {
+    "url_report": f"WITH {_REP} SELECT count(*) AS urls, count(DISTINCT url) AS unique_urls, count(DISTINCT domain) AS unique_domains, count(DISTINCT username) AS accounts, count(*) FILTER (doc_id % 9 IN (3, 8)) AS internal, count(*) FILTER (doc_id % 9 = 7) AS unresolved, count(*) FILTER (doc_id % 9 NOT IN (3, 7, 8)) AS external FROM rep",
+    "external_domains": f"WITH {_REP} SELECT domain AS value, count(*) AS n FROM rep WHERE doc_id % 9 NOT IN (3, 7, 8) GROUP BY 1 ORDER BY n DESC, value LIMIT 20",
+    "array_lengths": f"WITH {_SRC}, g AS (SELECT user_id, tweet_type, count(DISTINCT id) AS k FROM src GROUP BY 1, 2) SELECT tweet_type, count(*) AS n, CAST(sum(k) AS BIGINT) AS entries, count(*) FILTER (k > 0) AS with_entries, CAST(max(k) AS INTEGER) AS most FROM g GROUP BY 1",
+    "rows_by_parameter": f"WITH {_SRC} SELECT id, user_id FROM src WHERE tweet_type = 'like'",
+    "interaction_scores": f"""WITH {_SRC}, e AS (SELECT CAST(user_id AS BIGINT) % 20 AS source, CAST(length(full_text) % 7 + favorite_count AS BIGINT) AS target, CASE WHEN tweet_type = 'like' THEN 0.7 WHEN is_reply THEN 0.8 WHEN tweet_type = 'note_tweet' THEN 0.6 END AS w FROM src)
+ SELECT source, target, round(sum(CAST(w AS DOUBLE)), 6) AS score FROM e WHERE w IS NOT NULL AND source <> target GROUP BY 1, 2""",
+}
+
 
 def oracle(domain_cases: list[str]) -> dict[str, str]:
     listed = ", ".join(f"'{x}'" for x in domain_cases)

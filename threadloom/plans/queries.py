@@ -445,3 +445,39 @@ def section_union(spark, sf):
     s = carriers.source(spark, sf)
     parts = [s.where(F.col("tweet_type") == k).select("id", F.lit(n).alias("kind")) for k, n in (("tweet", "tweet"), ("note_tweet", "note"), ("community_tweet", "community"))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).where("id is not null").groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
+
+
+@query
+def url_report(spark, sf):
+    return url_ops.overall(_report_rows(spark, sf))
+
+
+@query
+def external_domains(spark, sf):
+    return url_ops.external_domains(_report_rows(spark, sf))
+
+
+def _report_rows(spark, sf) -> DataFrame:
+    d = links.parts("url")["raw_domain"]
+    return _url_cases(spark, sf).select((F.col("doc_id") % 5).cast("string").alias("username"), "url", d.alias("raw_domain"), links.normalized(d).alias("domain"))
+
+
+@query
+def array_lengths(spark, sf):
+    s = carriers.source(spark, sf).groupBy("user_id", "tweet_type").agg(F.to_json(F.array_sort(F.collect_set("id"))).alias("ids"))
+    return profile.array_lengths(s, "ids", "tweet_type")
+
+
+@query
+def rows_by_parameter(spark, sf):
+    return profile.rows_with(carriers.source(spark, sf), "tweet_type", "like").select("id", "user_id")
+
+
+@query
+def interaction_scores(spark, sf):
+    from threadloom.operators import similarity
+
+    s = carriers.source(spark, sf)
+    kind = F.when(F.col("tweet_type") == "like", "mention").when(F.col("is_reply"), "reply").when(F.col("tweet_type") == "note_tweet", "quote").otherwise("other")
+    edges = s.select((F.col("user_id").cast("long") % 20).alias("source"), (F.length("full_text") % 7 + F.col("favorite_count")).cast("long").alias("target"), kind.alias("kind"))
+    return similarity.interaction_scores(edges)

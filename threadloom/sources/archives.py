@@ -180,3 +180,49 @@ def format_signatures(archives: DataFrame) -> DataFrame:
     """How many archives have which set of sections, most frequent first."""
     keys = F.array_join(F.array_sort(F.json_object_keys("raw")), ",")
     return archives.where("not corrupt").groupBy(keys.alias("signature")).agg(F.count("*").alias("archives")).orderBy(F.desc("archives"), "signature")
+
+
+KINDS = {"tweet": ("tweet",), "note": ("note_tweet",), "community": ("community_tweet",), "like": ("like",)}
+
+
+def rows_of_kind(tweets: DataFrame, kind: str) -> DataFrame:
+    """Rows of one kind of post by its short name."""
+    if kind not in KINDS:
+        raise ValueError(f"unknown kind of post: {kind}")
+    return tweets.where(F.col("tweet_type").isin(*KINDS[kind]))
+
+
+def profiles(archives: DataFrame) -> DataFrame:
+    """Profile texts and pictures of each account; what is missing is ''."""
+    outer = F.get(F.col("archive.profile"), 0)
+    p = lambda *path: _or_empty(F.coalesce(*[_filled(_at(o, path)) for o in (outer["profile"], outer)]))
+    return archives.where("not corrupt").select(
+        "username", p("description", "bio").alias("bio"), p("description", "website").alias("website"), p("description", "location").alias("location"), p("avatarMediaUrl").alias("avatar"), p("headerMediaUrl").alias("header")
+    )
+
+
+def typed_entities(entities: Column) -> Column:
+    """Entities with numbers as numbers and missing link texts filled in."""
+    ints = lambda xs: F.transform(xs, lambda i: i.try_cast("int"))
+    return F.struct(
+        F.transform(entities["urls"], lambda u: F.struct(u["url"].alias("url"), F.coalesce(u["expanded_url"], u["url"]).alias("expanded_url"), F.coalesce(u["display_url"], u["url"]).alias("display_url"), ints(u["indices"]).alias("indices"))).alias("urls"),
+        F.transform(entities["hashtags"], lambda h: F.struct(h["text"].alias("text"), ints(h["indices"]).alias("indices"))).alias("hashtags"),
+        F.transform(entities["user_mentions"], lambda m: F.struct(m["screen_name"].alias("screen_name"), m["name"].alias("name"), F.coalesce(m["id_str"], m["id"]).try_cast("bigint").alias("id"), ints(m["indices"]).alias("indices"))).alias("user_mentions"),
+    )
+
+
+def typed_media(media: Column) -> Column:
+    """Media with the sizes as a map of numbers."""
+    size = lambda _, s: F.struct(s["w"].try_cast("int").alias("w"), s["h"].try_cast("int").alias("h"), s["resize"].alias("resize"))
+    return F.transform(media, lambda m: F.struct(m["type"].alias("type"), m["media_url"].alias("media_url"), F.transform_values(m["sizes"], size).alias("sizes")))
+
+
+def structure(archives: DataFrame) -> DataFrame:
+    """The schema found in each section over all archives, as text."""
+    one = archives.where("not corrupt").agg(*[F.schema_of_variant_agg(F.try_variant_get(F.parse_json("raw"), f"$['{s}'][0]", "variant")).alias(s) for s in SECTIONS])
+    return one.unpivot([], list(SECTIONS), "section", "found")
+
+
+def sampled(archives: DataFrame, n: int, seed: int = 7) -> DataFrame:
+    """A repeatable sample of archives: the smallest hashes."""
+    return archives.orderBy(F.xxhash64(F.lit(seed), "archive_file"), "archive_file").limit(n)
