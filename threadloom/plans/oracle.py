@@ -132,7 +132,7 @@ ORACLE: dict[str, str] = {
     "parsed_times": f"SELECT event_id, {_TS.format(chr(100) + 'ate_trunc(' + chr(39) + 'second' + chr(39) + ', ts)')} AS from_post, {_TS.format('ts')} AS from_note, TRUE AS bad_is_null FROM events",
     "identity_history": f"WITH {_IDS} SELECT user_id, {_TS.format('ts')} AS ts, display_name AS value FROM log WHERE display_name IS NOT NULL",
     "identity_as_of": f"WITH {_IDS}, p AS (SELECT * FROM log WHERE ts <= TIMESTAMP '2024-01-16') SELECT user_id, last(username ORDER BY ts, seq) AS username, coalesce(last(display_name ORDER BY ts, seq) FILTER (display_name IS NOT NULL), last(username ORDER BY ts, seq)) AS display_name, last(avatar_url ORDER BY ts, seq) FILTER (avatar_url IS NOT NULL) AS avatar_url, {_TS.format('max(ts)')} AS changed_at FROM p GROUP BY user_id",
-    "identity_as_of_each": f"WITH {_IDS}, w AS (SELECT *, last_value(display_name IGNORE NULLS) OVER z AS d, last_value(avatar_url IGNORE NULLS) OVER z AS v, last_value(username) OVER z AS n FROM log WINDOW z AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT seq AS event_id, user_id, n AS username, d AS display_name, v AS avatar_url FROM w WHERE seq % 10 = 0",
+    "identity_as_of_each": f"WITH {_IDS}, w AS (SELECT *, last_value(display_name IGNORE NULLS) OVER z AS d, last_value(avatar_url IGNORE NULLS) OVER z AS v, last_value(username) OVER z AS n FROM log WINDOW z AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT seq AS event_id, user_id, n AS username, d AS display_name, v AS avatar_url FROM w",
     "identity_latest": f"WITH {_IDS} SELECT username, last(user_id ORDER BY ts, seq) AS user_id FROM log WHERE username IS NOT NULL GROUP BY username",
     "identity_temporary": f"WITH {_IDS} SELECT seq, CASE WHEN seq % 4 = 0 THEN 'TEMP_' || sha256(username) ELSE user_id END AS user_id, coalesce(display_name, username) AS display_name, seq % 4 = 0 AS temporary FROM log",
     "export_markdown": f"WITH {_THR} SELECT id, md5('# Tweet ' || id || chr(10) || chr(10) || {_CLEAN.format('text')} || chr(10) || chr(10) || 'Posted on: ' || strftime(created_at, '{_SEC}') || chr(10) || chr(10)) AS md5 FROM thr",
