@@ -188,9 +188,9 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """``(node, root)`` of every node in ``edges (u, v)``: root is the smallest.
 
     Large-star and small-star contraction. Minima are aggregates with map-side
-    combining, and the joins have the minima, one row a node, on one side, so
-    a hub of any degree spreads over tasks. Each round is written to the
-    shared folder, which bounds the lineage.
+    combining, and the joins have the minima, one row a node, on one side and
+    plain tables on both, so a hub of any degree can be split over tasks. Each
+    step is written to the shared folder, which bounds the lineage.
     """
     e = F.col
     now = written(edges.where(e("u") != e("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
@@ -198,10 +198,10 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     for _ in range(max_rounds):
         # large star: larger neighbours link to the smallest neighbour
         both = now.union(now.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        big = both.where(e("v") > e("u")).join(least, "u").select(e("v").alias("u"), e("m").alias("v")).distinct()
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-least")
+        big = written(both.where(e("v") > e("u")).join(least, "u").select(e("v").alias("u"), e("m").alias("v")).distinct(), "cc-big")
         # small star: smaller neighbours and the node link to the smallest
-        least = big.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(big.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
         small = big.join(least, "u").select(e("v").alias("u"), e("m").alias("v")).where(e("u") != e("v")).union(least.select("u", "m"))
         now = written(small.distinct(), "cc")
         seen = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(cast(pmod(xxhash64(v, u), 1000000007) as decimal(38,0)))")).first()
