@@ -76,8 +76,6 @@ PATTERNS = {
     "name": rf"\b(?:{_TITLED})\b\.? {_NAME}(?: {_NAME})?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Texts that this does not find hold no entity; one cheap scan.
-GATE = rf"[0-9@]|\b(?:{_TITLED})\b"
 #: Shapes that tell an entity's kind once it is cut out.
 _SHAPES = [
     ("email", r"^[^@\s]+@[^@\s]+\.[^@\s]+$"),
@@ -248,9 +246,18 @@ def _dressed(kind: Column, m: Column, fake: Column) -> Column:
     )
 
 
+def may_hold(text: Column) -> Column:
+    """False for a text without entities, by scans for single characters and words."""
+    out = text.rlike("[0-9@]")
+    for ts in TITLES.values():
+        for t in ts:
+            out = out | text.contains(t)
+    return out
+
+
 def entities_of(text: Column) -> Column:
-    """All mentions in order; null for a text that the gate lets pass whole."""
-    return F.when(text.rlike(GATE), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
+    """All mentions in order; null for a text that cannot hold one."""
+    return F.when(may_hold(text), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
 
 
 def typed(found: Column) -> Column:
