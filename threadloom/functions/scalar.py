@@ -50,9 +50,13 @@ def preview(x: Column | str, n: int = 50) -> Column:
     return F.when(c(x).isNull(), "[NULL]").otherwise(F.concat(F.left(c(x), F.lit(n)), F.lit("...")))
 
 
+#: White space of any script, control separators included.
+_SPACE = r"(?U)[\s\x1C-\x1F]+"
+
+
 def words(x: Column | str) -> Column:
-    """Tokens between white space of any script, without empty ones."""
-    return F.filter(F.split(c(x), r"(?U)\s+"), lambda w: w != "")
+    """Tokens between white space, without empty ones."""
+    return F.filter(F.split(c(x), _SPACE), lambda w: w != "")
 
 
 def clean_text(x: Column | str) -> Column:
