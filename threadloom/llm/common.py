@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,3 +118,20 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """
     few = ids.count() <= BROADCAST_ROWS
     return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def text_mark(text: Column) -> Column:
+    """Equal for equal texts: the 128-bit digest, empty for a null text."""
+    return F.coalesce(F.md5(text.cast("string")), F.lit(""))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that are not in ``gone (doc_id, mark)``, distinct rows.
+
+    Like ``without``, but by id and text: other texts of an id stay, and rows
+    without ``doc_id`` are told apart by their texts.
+    """
+    few = gone.count() <= BROADCAST_ROWS
+    ids = gone.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_mark(F.col(f"`{text_col}`")) == F.col("__mark"))
+    return docs.join(F.broadcast(ids) if few else ids, same, "left_anti")
