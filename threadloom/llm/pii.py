@@ -15,7 +15,7 @@ they are used: up to ``MAP_ROWS`` they travel inside the plan, beyond that they
 are joined to the rows that hold them.
 
 Kinds: secret (quoted after token/secret/password/key, well-known key prefixes,
-long hex), e-mail, IBAN, payment card (Luhn validity kept), MAC, IPv6, IPv4
+long hex), e-mail, IBAN, payment card (Luhn validity kept), MAC, IPv6 (written out in full), IPv4
 (private ranges stay private), social security number, phone (country code
 kept), person after a title (gender and script kept).
 
@@ -62,13 +62,14 @@ SYLLABLES = {
 
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 _TITLED = "|".join(t for ts in TITLES.values() for t in ts)
+_GROUPS = "[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}"
 #: What the kinds look like, most specific first. Java syntax.
 PATTERNS = {
-    "secret": r"""(?<=["'])(?<=\b(?i:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}["'])[^"'\s]{6,}|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,}\b|\bsk-[A-Za-z0-9]{20,}\b|\beyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}|\b(?=[0-9a-f]*\d)[0-9a-f]{32,128}\b|\b(?=[0-9A-F]*\d)[0-9A-F]{32,128}\b""",
+    "secret": r"""(?<=["'])(?<=\b(?i:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}["'])[^"'\s]{6,}|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,}\b|\bsk-[A-Za-z0-9]{20,}\b|\beyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}|\b(?=[0-9a-f]*\d)[0-9a-f]{32,}+\b|\b(?=[0-9A-F]*\d)[0-9A-F]{32,}+\b""",
     "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@[\p{L}0-9-]+(?:\.[\p{L}0-9-]+)+",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "mac": r"\b(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}\b",
-    "ipv6": r"\b(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\b",
+    "ipv6": r"\b(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\b" + rf"|(?<![\w:.])(?=(?:::)?[0-9A-Fa-f])(?!(?:[0-9A-Fa-f]+:+){{7}}[0-9A-Fa-f])(?:{_GROUPS})?::(?:{_GROUPS})?(?![\w:]|\.\d)",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "ipv4": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -76,7 +77,7 @@ PATTERNS = {
     "name": rf"\b(?:{_TITLED})\b\.? {_NAME}(?: {_NAME})?",
 }
 #: What a kind may begin with, where that spares a try at every character.
-_FIRST = {"iban": "[A-Z]", "mac": "[0-9A-Fa-f]", "ipv6": "[0-9A-Fa-f]", "card": r"\d", "ipv4": r"\d", "ssn": r"\d", "phone": r"[+(\d]", "name": r"[DFHMPSг]|Г"}
+_FIRST = {"iban": "[A-Z]", "mac": "[0-9A-Fa-f]", "ipv6": "[0-9A-Fa-f:]", "card": r"\d", "ipv4": r"\d", "ssn": r"\d", "phone": r"[+(\d]", "name": r"[DFHMPSг]|Г"}
 PATTERN = "|".join(f"(?={_FIRST[k]})(?:{p})" if k in _FIRST else f"(?:{p})" for k, p in PATTERNS.items())
 #: Shapes that tell an entity's kind once it is cut out.
 _SHAPES = [
@@ -84,7 +85,7 @@ _SHAPES = [
     ("name", rf"^(?:{_TITLED})\b"),
     ("ipv4", r"^(?:\d{1,3}\.){3}\d{1,3}$"),
     ("mac", r"^(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}$"),
-    ("ipv6", r"^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$"),
+    ("ipv6", rf"^(?:(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}|(?:{_GROUPS})?::(?:{_GROUPS})?)$"),
     ("ssn", r"^\d{3}-\d{2}-\d{4}$"),
     ("iban", r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{1,4}){2,8}$"),
     ("phone", r"^(?:\+[\d ().-]+|\(\d{3}\)[\d .-]+|\d{3}[.-]\d{3}[.-]\d{4})$"),
@@ -115,6 +116,14 @@ def _gender(m: Column) -> Column:
     return out.otherwise("n")
 
 
+def _expanded(m: Column) -> Column:
+    """The 32 digits of an IPv6 address, however it is written."""
+    groups = lambda part: F.filter(F.split(part, ":"), lambda g: g != "")
+    left, right = groups(F.substring_index(m, "::", 1)), groups(F.when(m.contains("::"), F.substring_index(m, "::", -1)).otherwise(""))
+    every = F.concat(left, F.array_repeat(F.lit("0"), F.lit(8) - F.size(left) - F.size(right)), right)
+    return F.lower(F.array_join(F.transform(every, lambda g: F.lpad(g, 4, "0")), ""))
+
+
 def canonical(kind: Column, m: Column) -> Column:
     """What all mentions of an entity share. For persons: gender|name."""
     bare = F.regexp_replace(m, "[^0-9A-Za-z]", "")
@@ -123,7 +132,8 @@ def canonical(kind: Column, m: Column) -> Column:
         .when(kind == "email", F.lower(m))
         .when(kind == "name", F.concat_ws("|", _gender(m), F.lower(_untitled(m))))
         .when(kind == "ipv4", m)
-        .when(kind.isin("ipv6", "mac"), F.lower(bare))
+        .when(kind == "ipv6", _expanded(m))
+        .when(kind == "mac", F.lower(bare))
         .when(kind == "phone", F.concat(F.regexp_extract(m, r"^\+\d{0,3}", 0), F.lit("|"), bare))
         .otherwise(bare)
     )
@@ -234,6 +244,7 @@ def surrogates(entities: Column, attempt_of, key: str) -> Column:
 def _dressed(kind: Column, m: Column, fake: Column) -> Column:
     """The replacement in the format of this mention."""
     bare = F.substring_index(fake, "|", -1)
+    eight = F.regexp_replace(fake, "(.{4})(?=.)", "$1:")
 
     def refill(c, i):
         at = F.length(F.regexp_replace(F.substr(m, F.lit(1), i + 1), "[^0-9A-Za-z]", ""))
@@ -243,18 +254,25 @@ def _dressed(kind: Column, m: Column, fake: Column) -> Column:
     return (
         F.when(kind.isin("secret", "email", "ipv4"), fake)
         .when(kind == "name", F.concat(F.regexp_extract(m, rf"^(?:{_TITLED})\b\.? ", 0), F.initcap(bare)))
-        .when(kind.isin("mac", "ipv6") & m.rlike("[A-F]"), F.upper(F.array_join(F.transform(F.split(m, ""), refill), "")))
+        .when(kind == "ipv6", F.when(m.rlike("[A-F]"), F.upper(eight)).otherwise(eight))
+        .when((kind == "mac") & m.rlike("[A-F]"), F.upper(F.array_join(F.transform(F.split(m, ""), refill), "")))
         .otherwise(F.array_join(F.transform(F.split(m, ""), refill), ""))
     )
 
 
-#: Titles by their beginnings, each tried only at a character that begins one.
-_GATE = r"(?=[0-9@DFHMPSГг])(?:[0-9@]|M(?:r|s|me|iss|ister|adame|onsieur)|Herr|Frau|S(?:r|eñor)|Dr|Prof|[Гг]оспо)"
+#: What entities have: a digit or @, a title (tried only at characters that begin
+#: one), a quote after = or :, or what stands inside addresses made of letters.
+_GATE = r"(?=[0-9@DFHMPSГг=:-])(?:[0-9@]|M(?:r|s|me|iss|ister|adame|onsieur)|Herr|Frau|S(?:r|eñor)|Dr|Prof|[Гг]оспо|[=:]\s{0,3}[\"']|:[:A-Fa-f]|-[A-Fa-f]{2}-)"
+#: Beginnings of keys that may be made of letters alone.
+_KEYS = ["AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "eyJ"]
 
 
 def may_hold(text: Column) -> Column:
-    """False for a text that holds no entity: one scan for what all have."""
-    return text.rlike(_GATE)
+    """False for a text that holds no entity: scans for what every pattern has."""
+    found = text.rlike(_GATE)
+    for k in _KEYS:
+        found = found | text.contains(k)
+    return found
 
 
 def entities_of(text: Column) -> Column:
