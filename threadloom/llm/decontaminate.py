@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.llm.common import map_rows, without, written
+from threadloom.llm.common import map_rows, text_mark, without_rows, written
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Benchmark text in one broadcast index; its arrays take some 40 times that.
@@ -182,12 +182,13 @@ _FOUND = [
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, text_col: str = "text", block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, text_col: str = "text", block_bytes: int = BLOCK_BYTES, marks: bool = False
 ) -> DataFrame:
     """``doc_id, n_words, spans, items`` for every row of ``docs``.
 
     ``spans`` are the hit words as disjoint ranges [start, end), ``items`` the
-    ids of the items of which a window occurs.
+    ids of the items of which a window occurs. With ``marks`` the text's mark
+    goes along.
     """
     sc = docs.sparkSession.sparkContext
     pairs = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
@@ -195,10 +196,12 @@ def contamination(
     n = max(1, -(-size // block_bytes))
     pairs = pairs.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if marks:
+        texts = texts.withColumn("mark", text_mark(F.col("text")))
     if n > 1:
         texts = written(texts.withColumn("row", F.monotonically_increasing_id()), "winnow-rows")
     keys = [c for c in texts.columns if c != "text"]
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in keys] + _FOUND)
+    schema = T.StructType([T.StructField(c, T.StringType() if c == "mark" else T.LongType()) for c in keys] + _FOUND)
     parts = []
     for block in range(n):
         items = [(r["item_id"], r["text"]) for r in pairs.where(F.col("block") == block).select("item_id", "text").collect()]
@@ -224,18 +227,16 @@ def contamination(
         "concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, x.end)))), "
         "concat(a, array(x))))"
     )
-    return some.select("doc_id", "n_words", joined.alias("spans"), "items")
+    return some.select("doc_id", *["mark"] * marks, "n_words", joined.alias("spans"), "items")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that share no window with the benchmark.
 
-    A ``doc_id`` names one document: if any row of it is hit, all go. Rows
-    without a ``doc_id`` are kept if none of them is hit.
+    Each row goes by its own text, whatever other rows have its ``doc_id``.
     """
-    found = written(contamination(docs, benchmark, **options), "winnow").where("size(spans) > 0").select("doc_id").distinct()
-    kept = without(docs, found.where("doc_id is not null"))
-    return kept if found.where("doc_id is null").isEmpty() else kept.where("doc_id is not null")
+    found = written(contamination(docs, benchmark, marks=True, **options), "winnow").where("size(spans) > 0").select("doc_id", "mark").distinct()
+    return without_rows(docs, found, options.get("text_col", "text"))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.llm.common import map_rows, without, written
+from threadloom.llm.common import map_rows, text_mark, without_rows, written
 
 #: Labelled rows that the list is fitted on, at most.
 LABEL_ROWS = 50_000
@@ -88,11 +88,16 @@ SCHEMA = T.StructType(
 )
 
 
-def document_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def document_statistics(docs: DataFrame, text_col: str = "text", marks: bool = False) -> DataFrame:
+    """Statistics of every row; with ``marks`` the text's mark goes along."""
+
     def make():
-        return lambda rows: [statistics_of(*r) for r in rows]
+        return lambda rows: [(*statistics_of(*r[:2]), *r[2:]) for r in rows]
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), F.col(text_col).cast("string").alias("text")), make, SCHEMA, weigh=1)
+    text = F.col(text_col).cast("string")
+    more = [text_mark(text).alias("mark")] if marks else []
+    schema = T.StructType(SCHEMA.fields + [T.StructField("mark", T.StringType()) for _ in more])
+    return map_rows(docs.select(F.col("doc_id").cast("long"), text.alias("text"), *more), make, schema, weigh=1)
 
 
 @dataclass(frozen=True)
@@ -224,9 +229,9 @@ def fit(stats: DataFrame, labels: DataFrame, label_rows: int = LABEL_ROWS, **opt
     return learn(x, bad, **options) if bad.any() and not bad.all() else []
 
 
-def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", marks: bool = False, **options) -> DataFrame:
     """Statistics, ``base_failed`` and ``kept`` for every row of ``docs``."""
-    stats = written(document_statistics(docs, text_col), "quality")
+    stats = written(document_statistics(docs, text_col, marks), "quality")
     rules = fit(stats, labels, **options)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return stats.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
@@ -235,13 +240,10 @@ def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options)
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose text the rules keep; columns unchanged.
 
-    A ``doc_id`` names one document: if any row of it is rejected, all go. Rows
-    without a ``doc_id`` are kept if every such row is.
+    Each row goes by its own text, whatever other rows have its ``doc_id``.
     """
-    judged = judge(docs, labels, **options)
-    gone = judged.where(~F.col("kept")).select("doc_id").distinct()
-    kept = without(docs, gone.where("doc_id is not null"))
-    return kept if gone.where("doc_id is null").isEmpty() else kept.where("doc_id is not null")
+    judged = judge(docs, labels, marks=True, **options)
+    return without_rows(docs, judged.where(~F.col("kept")).select("doc_id", "mark").distinct(), options.get("text_col", "text"))
 
 
 def op6_query(spark, sf_dir: str) -> DataFrame:
