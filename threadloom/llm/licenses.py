@@ -34,7 +34,9 @@ _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NAMES = [
     tuple(x.strip() for x in line.split(" | "))
     for line in r"""
-mit | mit licen | (?:the )?mit(?:[- ]style)? licen[sc]e
+mit | mit licen | (?:the )?mit licen[sc]e
+mit | mit-style licen | (?:the )?mit-style licen[sc]e
+mit | mit style licen | (?:the )?mit style licen[sc]e
 mit-0 | mit-0 licen | mit-0 licen[sc]e
 mit-no-attribution | mit no attribution licen | mit no attribution licen[sc]e
 x11 | x11 licen | x11 licen[sc]e
@@ -110,7 +112,7 @@ busl-1.1 | business source licen | business source licen[sc]e
 sspl-1.0 | server side public licen | server side public licen[sc]e
 elastic-2.0 | elastic licen | elastic licen[sc]e,? (?:version |v)?2(?:\.0)?
 elastic | elastic licen | elastic licen[sc]e
-zlib | zlib licen | zlib(?:/libpng)? licen[sc]e
+zlib | zlib licen | zlib licen[sc]e
 zlib | zlib/libpng licen | zlib/libpng licen[sc]e
 libpng | libpng licen | libpng licen[sc]e
 python-2.0 | python software foundation licen | python software foundation licen[sc]e
@@ -119,7 +121,9 @@ ruby | ruby licen | ruby licen[sc]e
 perl | same terms as perl itself, licen | under the same terms as perl itself, licen[sc]e
 postgresql | postgresql licen | postgresql licen[sc]e
 openssl | openssl licen | openssl licen[sc]e
-unicode | unicode licen | unicode(?:,? inc\.)? licen[sc]e
+unicode | unicode licen | unicode licen[sc]e
+unicode | unicode, inc. licen | unicode, inc\. licen[sc]e
+unicode | unicode inc. licen | unicode inc\. licen[sc]e
 w3c | w3c software | w3c software (?:notice and )?licen[sc]e
 ncsa | ncsa open source licen | ncsa open source licen[sc]e
 ofl-1.1 | open font licen | (?:sil )?open font licen[sc]e
@@ -172,13 +176,109 @@ bsd | redistribution and use in source and binary forms | redistribution and use
 apache-2.0 | obtain a copy of the license | you may obtain a copy of the license at https?://www\.apache\.org/licenses/license-2\.0
 no-warranty | without warrant | without warranty of any kind
 proprietary | proprietary | (?:confidential and proprietary|proprietary and confidential)
-no-redistribution | redistribut | (?:may|must) not be (?:copied|reproduced|redistributed)|unauthori[sz]ed (?:copying|redistribution)
+no-redistribution | not be copied | (?:may|must) not be copied
+no-redistribution | not be reproduced | (?:may|must) not be reproduced
+no-redistribution | not be redistributed | (?:may|must) not be redistributed
+no-redistribution | unauthorized | unauthorized (?:copying|redistribution)
+no-redistribution | unauthorised | unauthorised (?:copying|redistribution)
 copyright | copyright | copyright (?:\(c\)|©)? ?(?:19|20)\d\d
 copyright | copyright | (?:©|\(c\)) copyright
 copyright-reserved | rights reserved | copyright[^\n]{0,80}all rights reserved
 """.strip().splitlines()
 ]
 
+#: label | keyword | SPDX id or short name, which names a licence only behind a tag, a header or "under"
+IDS = [
+    tuple(x.strip() for x in line.split(" | "))
+    for line in r"""
+mit | mit | mit
+mit-0 | mit-0 | mit-0
+x11 | x11 | x11
+isc | isc | isc
+0bsd | 0bsd | 0bsd
+bsd-2-clause | bsd-2-clause | bsd-2-clause
+bsd-3-clause | bsd-3-clause | bsd-3-clause
+bsd-4-clause | bsd-4-clause | bsd-4-clause
+bsd-2-clause | bsd 2-clause | bsd 2-clause
+bsd-3-clause | bsd 3-clause | bsd 3-clause
+bsd-4-clause | bsd 4-clause | bsd 4-clause
+bsd | bsd | bsd
+apache-1.0 | apache-1.0 | apache-1\.0
+apache-1.1 | apache-1.1 | apache-1\.1
+apache-2.0 | apache-2.0 | apache-2\.0
+apache-2.0 | apache 2 | apache 2(?:\.0)?
+apache-2.0 | apache v2 | apache v2(?:\.0)?
+apache | apache | apache
+agpl-1.0 | agpl-1.0 | agpl-1\.0(?:-only|-or-later)?
+agpl-3.0 | agpl 3 | agpl 3(?:\.0)?
+agpl-3.0 | agpl v3 | agpl v3(?:\.0)?
+agpl | agpl | agpl
+lgpl-2.0 | lgpl-2.0 | lgpl-2\.0(?:-only|-or-later|\+)?
+lgpl-2.1 | lgpl 2.1 | lgpl 2\.1
+lgpl-2.1 | lgpl v2.1 | lgpl v2\.1
+lgpl-3.0 | lgpl 3 | lgpl 3(?:\.0)?
+lgpl-3.0 | lgpl v3 | lgpl v3(?:\.0)?
+lgpl | lgpl | lgpl
+gpl-1.0 | gpl-1.0 | gpl-1\.0(?:-only|-or-later|\+)?
+gpl-2.0 | gpl 2 | gpl 2(?:\.0)?
+gpl-2.0 | gpl v2 | gpl v2(?:\.0)?
+gpl-3.0 | gpl 3 | gpl 3(?:\.0)?
+gpl-3.0 | gpl v3 | gpl v3(?:\.0)?
+gpl | gpl | gpl
+gfdl-1.1 | gfdl-1.1 | gfdl-1\.1(?:-only|-or-later)?
+gfdl-1.2 | gfdl-1.2 | gfdl-1\.2(?:-only|-or-later)?
+gfdl-1.3 | gfdl-1.3 | gfdl-1\.3(?:-only|-or-later)?
+gfdl | gfdl | gfdl
+mpl-1.0 | mpl-1.0 | mpl-1\.0
+mpl-1.1 | mpl-1.1 | mpl-1\.1
+mpl-2.0 | mpl-2.0 | mpl-2\.0
+mpl-2.0 | mpl 2 | mpl 2(?:\.0)?
+mpl | mpl | mpl
+epl-1.0 | epl-1.0 | epl-1\.0
+epl-2.0 | epl-2.0 | epl-2\.0
+epl | epl | epl
+cpl-1.0 | cpl-1.0 | cpl-1\.0
+ipl-1.0 | ipl-1.0 | ipl-1\.0
+cddl-1.0 | cddl-1.0 | cddl-1\.0
+cddl-1.1 | cddl-1.1 | cddl-1\.1
+cddl | cddl | cddl
+eupl-1.1 | eupl-1.1 | eupl-1\.1
+eupl-1.2 | eupl-1.2 | eupl-1\.2
+eupl | eupl | eupl
+ms-pl | ms-pl | ms-pl
+ms-rl | ms-rl | ms-rl
+osl-3.0 | osl-3.0 | osl-3\.0
+afl-3.0 | afl-3.0 | afl-3\.0
+artistic-1.0 | artistic-1.0 | artistic-1\.0
+artistic-2.0 | artistic-2.0 | artistic-2\.0
+bsl-1.0 | bsl-1.0 | bsl-1\.0
+busl-1.1 | busl-1.1 | busl-1\.1
+sspl-1.0 | sspl-1.0 | sspl-1\.0
+elastic-2.0 | elastic-2.0 | elastic-2\.0
+zlib | zlib | zlib
+libpng | libpng | libpng(?:-2\.0)?
+python-2.0 | python-2.0 | python-2\.0
+python-2.0 | psf-2.0 | psf-2\.0
+php-3.01 | php-3.01 | php-3\.01
+postgresql | postgresql | postgresql
+openssl | openssl | openssl
+ncsa | ncsa | ncsa
+ofl-1.1 | ofl-1.1 | ofl-1\.1
+wtfpl | wtfpl | wtfpl
+unlicense | unlicense | unlicense
+cecill-2.1 | cecill-2.1 | cecill-2\.1
+odbl-1.0 | odbl-1.0 | odbl-1\.0
+odc-by-1.0 | odc-by-1.0 | odc-by-1\.0
+pddl-1.0 | pddl-1.0 | pddl-1\.0
+cc-by | cc-by | cc-by(?:-[123]\.[05])?
+w3c | w3c | w3c
+vim | vim | vim
+curl | curl | curl
+ruby | ruby | ruby
+beerware | beerware | beerware
+""".strip().splitlines()
+]
+
 #: name, what stands before and after a signature, priority, confidence
 FORMS = [
     ("tag", r"spdx-licen[sc]e-identifier ?: ?", "", 1, 1.0),
@@ -187,15 +287,21 @@ FORMS = [
     ("mention", "", "", 4, 0.7),
 ]
 #: One of these is part of every keyword.
-ANCHORS = ["licen", "lizenz", "copyright", "domain", "reserved", "commons", "cc by", "cc-by", "cc0", "gpl", "permission", "redistribut", "proprietary", "warrant", "openrail", "cecill", "w3c"]
+_PARTS = ["licen", "lizenz", "copyright", "domain", "reserved", "commons", "cc by", "cc-by", "cc0", "gpl", "permission", "redistribut", "proprietary", "warrant", "openrail", "cecill", "w3c", "not be", "unauthori"]
+#: The same for ids; a word of the text begins so.
+ID_ANCHORS = sorted({re.split("[- ]", k)[0] for _, k, _ in IDS})
+ANCHORS = _PARTS + ID_ANCHORS
 
 
 def rules() -> list[dict]:
     """All rules, most important first. Longer signatures of a form go first."""
     out = []
-    for _, before, after, priority, confidence in FORMS:
-        for rank, (label, keyword, signature) in enumerate(sorted(NAMES, key=lambda x: -len(x[2]))):
-            body = rf"{before}(?<![a-z0-9])(?:{signature})(?![a-z0-9]){after}"
+    for form, before, after, priority, confidence in FORMS:
+        # ids are no mentions, and a tag is followed by an id, not by a sentence
+        here = (NAMES if form != "tag" else [x for x in NAMES if len(x[2].split(" ")) == 1 or x[1].startswith("cc")]) + (IDS if form != "mention" else [])
+        for rank, (label, keyword, signature) in enumerate(sorted(here, key=lambda x: -len(x[2]))):
+            start = before.replace("(?:under|by|with)", "under") if (label, keyword, signature) in IDS else before
+            body = rf"{start}(?<![a-z0-9])(?:{signature})(?![a-z0-9]){after}"
             out.append({"label": label, "keyword": keyword, "regex": re.sub(r" (\?)?", lambda m: r"\s*" if m[1] else r"\s+", body), "priority": priority * 1000 + rank, "confidence": confidence})
     return out
 
@@ -248,8 +354,12 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     for p, _ in PHRASES:
         any_phrase = any_phrase | s.contains(f" {p} ")
     any_anchor = F.lit(False)
-    for a in ANCHORS:  # white space may be a line's end: "cc by" is looked for among the words
+    for a in _PARTS:  # white space may be a line's end: "cc by" is looked for among the words
         any_anchor = any_anchor | (s.contains(f" {a} ") if " " in a else F.col("low").contains(a))
+    stated = F.lit(False)  # an id counts behind a tag or header, which have "licen", or behind "under"
+    for a in ID_ANCHORS:
+        stated = stated | s.contains(f" {a}")
+    any_anchor = any_anchor | (s.contains(" under ") & stated)
     none = F.array().cast("array<int>")
     words = spaced.select("doc_id", n_words.alias("n_words"), F.when(any_anchor, F.col("low")).alias("low"), F.when(any_anchor, F.regexp_replace("low", r"\s+", " ")).alias("flat"), F.when(any_phrase, F.split(F.trim(s), " ")).alias("words"))
     hit = words.select(
