@@ -22,16 +22,16 @@ LETTERS = {
 
 def test_gate_holds_no_entity_back(spark):
     df = spark.createDataFrame(list(LETTERS.items()), "name string, text string")
-    bare = F.regexp_extract_all("text", F.lit(pii.PATTERN), F.lit(0))
-    for r in df.select("name", pii.entities_of(F.col("text")).alias("a"), bare.alias("b")).collect():
-        assert r["a"] == r["b"] and len(r["b"]) == 1, r
+    bare = F.concat(F.regexp_extract_all("text", F.lit(pii.PATTERN), F.lit(0)), pii.people(F.col("text")).m)
+    for r in pii.found_in(df.select("name", "text", bare.alias("b")), F.col("text"), ("p", "a")).collect():
+        assert [x["m"] for x in r["a"]] == r["b"] and len(r["b"]) == 1, r
 
 
 def test_long_hex_and_short_ipv6(spark):
     one = "2001:db8::8a2e:370:7334"
     texts = ["key " + "0123456789abcdef" * 9, f"{one} is 2001:0DB8:0000:0000:0000:8A2E:0370:7334", "::ffff:192.0.2.33", "std::vector, x::y, 10:30:00, a :: b, 1:2:3:4:5:6:7::8"]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    new = {r["doc_id"]: r["text"] for r in pii.replace_personal_data(rows).collect()}
+    new = {r["doc_id"]: r["text"] for r in pii.replace_personal_data(rows, "k").collect()}
     assert "0123456789abcdef" not in new[0] and len(new[0]) == len(texts[0])
     a, b = new[1].split(" is ")
     assert a == b.lower() and a.count(":") == 7 and "8a2e" not in a

@@ -2,45 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bytes of text that a Python worker holds at once, besides the batch itself.
-CHUNK_BYTES = 1 << 20
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``.
+from threadloom.operators.durable import shared_dir, written
 
-    Only where the session names none (tests, a laptop) a temporary folder is
-    set, which the single local JVM sees as a whole.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = held.get() if held.isDefined() else None
-    if not found:
-        found = tempfile.mkdtemp(prefix="threadloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+__all__ = ["columns_of", "fresh", "map_rows", "shared_dir", "text_mark", "without", "without_rows", "written"]
 
+#: Bytes of text that a Python worker holds at once, besides the batch itself.
+CHUNK_BYTES = 1 << 20
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
 
-    Cuts the lineage and survives lost executors: later stages re-read files
-    instead of recomputing what led to them.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/threadloom/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that is not taken, whatever the case of its letters."""
+    used = {c.lower() for c in taken}
+    name = f"__{name}"
+    while name.lower() in used:
+        name += "_"
+    return name
 
 
 def columns_of(df: DataFrame, fallback: dict[str, str]) -> DataFrame:
