@@ -30,6 +30,12 @@ def test_encoder_equals_tokenizers(encoder, reference, edge_rows):
         assert encoder.ids(t).tolist() == reference.encode(t, add_special_tokens=False).ids, repr(t[:40])
 
 
+def test_a_million_of_a_kind_are_encoded(encoder, reference):
+    for run in (" ", "\n", "\t", "a", "7", ".", "é", "b.", "a-", " x", "\n ", "<", '"', "日"):
+        for text in (run * (1_000_000 // len(run)), run * 2000 + " end", "so" + run * 999 + "a"):
+            assert encoder.ids(text).tolist() == reference.encode(text, add_special_tokens=False).ids, repr(run)
+
+
 def check(rows, window):
     of, seqs = {}, {}
     for r in rows:

@@ -13,7 +13,7 @@ def test_sizes_places_and_checksums(edge, edge_rows):
     assert set(by) <= set(range(4)) and all(sorted(x) == list(range(len(x))) for x in by.values())
     slots = {}
     for r in rows:
-        assert slots.setdefault(r["virtual_slot"], r["shard"]) == r["shard"]
+        assert slots.setdefault((r["virtual_slot"], r["part"]), r["shard"]) == r["shard"]
 
 
 def test_bytes_are_near_equal(spark):
@@ -23,9 +23,9 @@ def test_bytes_are_near_equal(spark):
 
 
 def test_versions_are_stored_and_edited(spark, tmp_path):
-    sums = {s: 100 + s % 7 for s in range(500)}
+    sums = {(s, 0): 100 + s % 7 for s in range(500)}
     one = sharding.assign(sums, 8)
-    grown = {s: b * (3 if s % 50 == 0 else 1) for s, b in sums.items()}
+    grown = {s: b * (3 if s[0] % 50 == 0 else 1) for s, b in sums.items()}
     two = sharding.rebalance(one, grown, 9)
     loads = [sum(grown[s] for s in grown if two[s] == k) for k in range(9)]
     assert max(loads) <= 1.02 * sum(loads) / 9
@@ -35,9 +35,22 @@ def test_versions_are_stored_and_edited(spark, tmp_path):
     folder = str(tmp_path / "map")
     for v, m in ((1, one), (2, two)):
         sharding.store_map(sharding.map_table(spark, v, m, dict.fromkeys(sums, 1), 500), folder)
-    assert {r["virtual_slot"]: r["shard"] for r in sharding.read_map(spark, folder).collect()} == two
-    assert {r["virtual_slot"]: r["shard"] for r in sharding.read_map(spark, folder, 1).collect()} == one
+    assert {(r["virtual_slot"], r["part"]): r["shard"] for r in sharding.read_map(spark, folder).collect()} == two
+    assert {(r["virtual_slot"], r["part"]): r["shard"] for r in sharding.read_map(spark, folder, 1).collect()} == one
 
 
 def test_empty(nothing):
     assert sharding.shard(nothing).count() == 0
+
+
+def test_hot_ids_are_spread(spark):
+    """A third of the rows share an id, another third have none and are equal."""
+    df = spark.range(9000).selectExpr("case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end as doc_id", "case when id % 3 = 1 then 'same' else repeat('y', cast(id % 50 as int)) end as text")
+    for rows in (100, 1_000_000):
+        out = sharding.shard(df, 6, 256, part_rows=rows).collect()
+        loads, by = {}, {}
+        for r in out:
+            loads[r["shard"]] = loads.get(r["shard"], 0) + r["size"]
+            by.setdefault(r["shard"], []).append(r["slot"])
+        assert len(out) == 9000 and all(sorted(x) == list(range(len(x))) for x in by.values())
+        assert len(loads) == 6 and max(loads.values()) < 1.1 * min(loads.values())

@@ -11,8 +11,9 @@ filled, which is nothing beside its thousands.
 Tokens are those of the byte-level BPE vocabulary of the tokenizer file. Texts
 of characters below U+0250 are encoded by ``tiktoken`` over the same vocabulary
 (tests hold the two equal, character by character), three times faster; any
-other text by ``tokenizers`` itself. Strings of special tokens in a text are
-ordinary text.
+other text, and one with ``LONG_RUN`` characters in a row with or without white
+space, on which the faster one may overflow its stack, by ``tokenizers`` itself.
+Strings of special tokens in a text are ordinary text.
 
 Defined results: a null text is empty and has the end token only; a null
 ``doc_id`` is packed like any other; repeated rows are packed each; other
@@ -38,7 +39,9 @@ WINDOW = 1024
 END = 0
 #: Pieces that one task packs, on average.
 GROUP_ROWS = 1 << 15
-_WIDE = re.compile("[^\x00-ɏ]")
+#: Characters in a row, all white space or none, that only ``tokenizers`` encodes.
+LONG_RUN = 1000
+_OWN = re.compile(rf"[^\x00-ɏ]|\s{{{LONG_RUN}}}|\S{{{LONG_RUN}}}")
 
 
 def tokenizer_path() -> str:
@@ -71,7 +74,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("same", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if _WIDE.search(text):
+        if _OWN.search(text):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self.fast.encode_ordinary(text), np.uint32)
 
@@ -97,7 +100,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, text_col: str = "text", tokeni
 
         return work
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), F.col(text_col).cast("string").alias("text")), make, schema, weigh=1)
+    return map_rows(docs.select(F.col("doc_id").cast("long"), F.col(f"`{text_col}`").cast("string").alias("text")), make, schema, weigh=1)
 
 
 class _Room:

@@ -7,29 +7,39 @@ which slot. Sizes are balanced over whole slots, heaviest first, so the law is
 the data grow or the number of shards changes, ``rebalance`` edits the map into
 its next version by moving few slots; nothing is hashed anew.
 
-The only data that reach the driver are the slots' sums, ``n_slots`` rows
-whatever the corpus. Everything else is built-in functions: one pass over the
-texts gives size and checksum, and a window numbers the rows of each slot.
-Numbers run on from slot to slot of a shard by prefix sums, so no task ever
-holds a whole shard.
+A slot that is heavier than ``SPLIT`` of a shard's share (a ``doc_id`` that a
+third of the rows repeat) or has more than ``PART_ROWS`` rows is cut into parts,
+dealt by the row's own number; the map then has a line for each part.
+
+The only data that reach the driver are the sums of slots and parts, some
+``n_slots`` and one for every ``PART_ROWS`` rows. Everything else is built-in
+functions: one pass over the texts gives size and checksum, and a window numbers
+the rows of each part. Numbers run on from part to part of a shard by prefix
+sums, so no task ever holds a whole shard or a hot slot.
 
 Defined results: a null text has no bytes (size 8, checksum 0); rows without
 ``doc_id`` are dealt by checksum and size; rows that repeat a ``doc_id`` share
-its slot; other columns are ignored; an empty table gives no rows.
+its slot, not always its part; texts of any length are one row; other columns
+are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
+import math
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import shared_dir, written
+from threadloom.llm.common import BROADCAST_ROWS, shared_dir, written
 
 SHARDS = 24
 SLOTS = 8192
+#: Rows of a slot's part, about, and the share of a shard's bytes that a part may have.
+PART_ROWS = 1_000_000
+SPLIT = 1 / 8
 
 
 def records(docs: DataFrame, n_slots: int = SLOTS, text_col: str = "text") -> DataFrame:
@@ -44,12 +54,19 @@ def records(docs: DataFrame, n_slots: int = SLOTS, text_col: str = "text") -> Da
     return own.withColumn("virtual_slot", F.pmod(key, F.lit(n_slots)).cast("int"))
 
 
-def slot_sums(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+def slot_sums(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy("virtual_slot", *by).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+
 
+def parts_of(sums: dict[int, tuple[int, int]], n_shards: int, part_rows: int = PART_ROWS, split: float = SPLIT) -> dict[int, int]:
+    """Slots of more than one part, with their numbers of parts; sums are (bytes, rows)."""
+    most = max(1.0, sum(b for b, _ in sums.values()) / n_shards * split)
+    need = {s: min(n, max(math.ceil(n / part_rows), math.ceil(b / most))) for s, (b, n) in sums.items()}
+    return {s: n for s, n in need.items() if n > 1}
 
-def assign(sums: dict[int, int], n_shards: int) -> dict[int, int]:
-    """Slots to shards, heaviest slot to lightest shard."""
+
+def assign(sums: dict, n_shards: int) -> dict:
+    """Slots, or their parts, to shards, heaviest to the lightest shard."""
     loads = [(0, s) for s in range(n_shards)]
     out = {}
     for slot, size in sorted(sums.items(), key=lambda x: (-x[1], x[0])):
@@ -97,22 +114,29 @@ def rebalance(current: dict[int, int], sums: dict[int, int], n_shards: int, slac
     return new
 
 
-def map_table(spark, version: int, shards: dict[int, int], rows: dict[int, int], n_slots: int = SLOTS) -> DataFrame:
-    """The map as a table of ``n_slots`` rows: version, slot, shard, first row.
+Place = tuple[int, int]  # virtual slot, part
+
 
-    ``first`` is where the slot's rows begin in its shard. Slots without rows
+def map_table(spark, version: int, shards: dict[Place, int], rows: dict[Place, int], n_slots: int = SLOTS) -> DataFrame:
+    """The map as a table: version, slot, part, parts of the slot, shard, first row.
+
+    ``first`` is where the part's rows begin in its shard. Slots without rows
     have a shard too, so later records find one.
     """
     n_shards = max(shards.values(), default=0) + 1
-    begin, at = [0] * n_slots, [0] * max(n_shards, 1)
-    where = [shards.get(s, s % n_shards) for s in range(n_slots)]
-    for s in range(n_slots):
-        begin[s] = at[where[s]]
-        at[where[s]] += rows.get(s, 0)
-    item = lambda xs, t: F.element_at(F.split(F.lit(",".join(map(str, xs))), ","), F.col("id").cast("int") + 1).cast(t)
-    return spark.range(n_slots).select(
-        F.lit(version).alias("map_version"), F.col("id").cast("int").alias("virtual_slot"), item(where, "int").alias("shard"), item(begin, "long").alias("first")
-    )
+    at = [0] * n_shards
+    parts: dict[int, int] = {}
+    for slot, _ in shards:
+        parts[slot] = parts.get(slot, 0) + 1
+    lines = []
+    for slot in range(n_slots):
+        for part in range(parts.get(slot, 1)):
+            where = shards.get((slot, part), slot % n_shards)
+            lines.append((slot, part, parts.get(slot, 1), where, at[where]))
+            at[where] += rows.get((slot, part), 0)
+    item = lambda k, t: F.element_at(F.split(F.lit(",".join(str(x[k]) for x in lines)), ","), F.col("id").cast("int") + 1).cast(t)
+    names = (("virtual_slot", "int"), ("part", "int"), ("parts", "int"), ("shard", "int"), ("first", "long"))
+    return spark.range(len(lines)).select(F.lit(version).alias("map_version"), *[item(k, t).alias(c) for k, (c, t) in enumerate(names)])
 
 
 def store_map(table: DataFrame, folder: str) -> None:
@@ -127,17 +151,32 @@ def read_map(spark, folder: str, version: int | None = None) -> DataFrame:
     return every.where(F.col("map_version") == chosen)
 
 
-def shard(docs: DataFrame, n_shards: int = SHARDS, n_slots: int = SLOTS, folder: str | None = None) -> DataFrame:
+def with_part(rows: DataFrame, parts: dict[int, int]) -> DataFrame:
+    """``rows`` with the part of the slot that each falls into, by its ``row`` number."""
+    if not parts:
+        return rows.withColumn("part", F.lit(0))
+    held = F.from_json(F.lit(json.dumps(parts)), "map<string,int>")
+    return rows.withColumn("part", F.pmod(F.xxhash64("row"), F.coalesce(F.try_element_at(held, F.col("virtual_slot").cast("string")), F.lit(1))).cast("int"))
+
+
+def shard(docs: DataFrame, n_shards: int = SHARDS, n_slots: int = SLOTS, folder: str | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Every record with its shard, its place there and its virtual slot."""
     spark = docs.sparkSession
-    rows = written(records(docs, n_slots), "shard-records")
-    sums = slot_sums(rows).collect()  # n_slots rows at most
-    table = map_table(spark, 1, assign({r[0]: r[1] for r in sums}, n_shards), {r[0]: r[2] for r in sums}, n_slots)
+    rows = written(records(docs, n_slots).withColumn("row", F.monotonically_increasing_id()), "shard-records")
+    whole = slot_sums(rows).collect()  # n_slots rows at most
+    parts = parts_of({r["virtual_slot"]: (r["bytes"], r["rows"]) for r in whole}, n_shards, part_rows)
+    rows = with_part(rows, parts)
+    split = slot_sums(rows.where(F.col("virtual_slot").isin(list(parts))), "part").collect() if parts else []  # a row for part_rows rows
+    sums = {(r["virtual_slot"], 0): (r["bytes"], r["rows"]) for r in whole if r["virtual_slot"] not in parts}
+    sums |= {(s, p): (0, 0) for s, n in parts.items() for p in range(n)} | {(r["virtual_slot"], r["part"]): (r["bytes"], r["rows"]) for r in split}
+    table = map_table(spark, 1, assign({k: b for k, (b, _) in sums.items()}, n_shards), {k: n for k, (_, n) in sums.items()}, n_slots)
     folder = folder or f"{shared_dir(spark)}/threadloom/slot-map-{uuid.uuid4().hex}"
     store_map(table, folder)
-    placed = rows.join(F.broadcast(read_map(spark, folder)), "virtual_slot")  # n_slots rows: bounded
-    in_slot = F.expr("row_number() over (partition by virtual_slot order by doc_id, text_crc32, size)")
-    return placed.withColumn("slot", F.col("first") + in_slot - 1)
+    lines = read_map(spark, folder).drop("parts")
+    few = len(sums) <= BROADCAST_ROWS
+    placed = rows.join(F.broadcast(lines) if few else lines, ["virtual_slot", "part"])
+    in_part = F.expr("row_number() over (partition by virtual_slot, part order by doc_id, text_crc32, size, row)")
+    return placed.withColumn("slot", F.col("first") + in_part - 1).drop("row")
 
 
 def op3_query(spark, sf_dir: str) -> DataFrame:
