@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 
 from threadloom.llm import html
@@ -47,3 +50,36 @@ def test_query_shape(spark):
 def test_many_open_tags_and_quotes_end():
     assert html.main_text("<article>" + "<p>" * 20_000 + "x") == "x"
     assert html.main_text("<article><p>" + "<a href='x" * 2000 + "</article>") is not None
+
+
+def test_links_and_cards_are_decided_by_density():
+    menu = "<ul><li><a href=x>Menu</a><li><a href=y>Home</a></ul>"
+    assert html.main_text(f"<article><p>{LONG}</p>{menu}<p><a href=a>Next story</a> <a href=b>Last story</a></p></article>") == LONG
+    assert html.main_text(f"<article><h1>Head</h1><p>{LONG}</p><p><a href=z>Only one link here</a></p></article>") == f"Head\n{LONG}\nOnly one link here"
+    cards = "<article><h2>Card</h2></article><article><h2>Other</h2></article>"
+    assert f"{LONG}\n{LONG}" in html.main_text(f"{cards}<div id=content><p>{LONG}</p><p>{LONG}</p></div>")
+    assert html.main_text(f"{cards}<article><p>{LONG}</p></article><p>{LONG}</p>") == LONG
+
+
+def test_pages_built_from_known_blocks():
+    """Main text between noise of all kinds, with and without an article element."""
+    rng = random.Random(8)
+    stop = sorted(html.STOP_WORDS)
+
+    def prose(n):
+        return " ".join(rng.choice(stop) if rng.random() < 0.5 else f"Word{rng.randrange(999)}" for _ in range(n))
+
+    links = lambda: " ".join(f"<a href=/{i}>go {rng.randrange(99)}</a>" for i in range(rng.randint(2, 8)))
+    noise = [
+        lambda: f"<nav><ul>{''.join(f'<li>{x}</li>' for x in links().split('</a> '))}</ul></nav>", lambda: f"<div class='ad'>{prose(60)}</div>", lambda: f"<footer>{prose(80)}</footer>", lambda: f"<div id='cookie-notice'><p>{prose(50)}</p></div>",
+        lambda: f"<form><p>{prose(40)}</p><input></form>", lambda: f"<section class='comments'><p>{prose(70)}</p><p>ok</p></section>", lambda: f"<script>{prose(9)}<p></script>", lambda: f"<aside>{prose(90)}</aside>", lambda: f"<p>{links()}</p>",
+    ]
+    seen = Counter()
+    for i in range(200):
+        main = [prose(rng.choice([60, 80, 200])) if k % 2 == 0 else prose(rng.randint(1, 30)) for k in range(rng.choice([3, 5, 9]))]
+        body = "".join(f"<p>{x.replace('&', '&amp;')}</p>" + (rng.choice(noise)() if i % 2 and rng.random() < 0.3 else "") for x in main)
+        around = lambda: "".join(rng.choice(noise)() for _ in range(rng.randint(0, 4)))  # noqa: B023, E731
+        page = f"<html><head><title>t</title></head><body>{around()}{f'<article>{body}</article>' if i % 2 else f'<div>{body}</div>'}{around()}</body></html>"
+        assert html.main_text(page) == "\n".join(main), page
+        seen += html.decisions(page)
+    assert min(seen[k] for k in ("mark", "links", "words", "neighbours")) > 50

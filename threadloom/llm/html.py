@@ -1,28 +1,34 @@
 """Main text of web pages by two-pass block rules (operator 4).
 
 A page is cut into blocks at block-level tags. The first pass decides what it
-can about each block by itself: its place (menus, headers, footers, sidebars,
-notices, adverts, forms, comments by element, role, class or id; inside or
-outside the page's article element, if it has one), link density, length and
-stop-word density. The second pass gives the ambiguous rest, short blocks and
-middling ones, the label of the nearest decided neighbours.
-
-Everything inside an article element that no such mark excludes is main text,
-whatever its words: prose, tables of symbols or a single word. Pages without
-one go by the densities alone.
+can about each block by itself: bad by its mark (menus, headers, footers,
+sidebars, notices, adverts, forms, comments by element, role, class or id) or
+its place outside the article, bad by its links (most of its text in several
+links, or one of neighbouring blocks that are a link each), good by length and
+stop-word density, and, outside articles, bad if it is long without stop words.
+The second pass gives the ambiguous rest, short blocks and middling ones, the
+label of the nearest neighbours that density decided; inside an article, where
+ties and blocks without such neighbours are main text, marked blocks are passed
+over for this.
+
+Of a page's article elements those count that are the only one or hold prose:
+a page of several without prose has teaser cards, and goes by the densities
+alone like one without any.
 
 One pass over Arrow batches, a page at a time; nothing is shuffled.
 
 Defined results: null and empty pages give an empty text; text outside any
 element counts as a block; unclosed elements end with the page, an unclosed
 comment or script hides the rest; a null ``page_id`` or ``url`` stays null;
-repeated rows are extracted each; other columns are ignored.
+repeated rows are extracted each; pages of any length are taken whole; other
+columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -78,6 +84,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 class Rules(NamedTuple):
     link_density: float = 0.33
+    article_link_density: float = 0.8
     short: int = 70
     long: int = 200
     stop_low: float = 0.15
@@ -90,6 +97,8 @@ class Block(NamedTuple):
     in_article: bool
     link_density: float
     heading: bool
+    links: int = 0
+    article: int = 0  # number of its article element, 0 for none
 
 
 def _marked(name: str, attrs: str, in_article: bool) -> bool:
@@ -115,20 +124,20 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
     """The page's blocks in order, and whether it has an article element."""
     blocks: list[Block] = []
     parts: list[str] = []
-    linked = links_open = 0
-    has_article = heading = False
-    stack: list[tuple[str, bool, bool]] = []  # name, excluded, in article
-    excluded = in_article = False
+    linked = links_open = links = articles = 0
+    heading = False
+    stack: list[tuple[str, bool, int]] = []  # name, excluded, article
+    excluded, article = False, 0
     at, n = 0, len(page)
 
     def end() -> None:
-        nonlocal linked, heading
+        nonlocal linked, links, heading
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                blocks.append(Block(text, excluded, in_article, min(1.0, linked / max(len(text), 1)), heading))
+                blocks.append(Block(text, excluded, article > 0, min(1.0, linked / max(len(text), 1)), heading, max(links, linked > 0), article))
             parts.clear()
-        linked, heading = 0, False
+        linked, links, heading = 0, 0, False
 
     def say(text: str) -> None:
         nonlocal linked
@@ -164,6 +173,7 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
                     at = n if name in RAW else at
         elif name == "a":
             links_open = max(0, links_open - 1) if closing else 1
+            links += not closing
         elif name in BLOCKS or name in OUTSIDE:
             end()
             if name in VOID:
@@ -175,73 +185,111 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
             else:
                 if name in ("p", "li", "dt", "dd", "option") and stack and stack[-1][0] == name:
                     stack.pop()
-                outer = stack[-1] if stack else ("", False, False)
-                article = name in ("article", "main") or bool(re.search(r"\brole\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody", attrs))
-                out = outer[1] or _marked(name, attrs, outer[2])
-                if article and not out:
-                    has_article = True
-                stack.append((name, out, outer[2] or (article and not out)))
+                outer = stack[-1] if stack else ("", False, 0)
+                begins = name in ("article", "main") or bool(re.search(r"\brole\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody", attrs))
+                out = outer[1] or _marked(name, attrs, outer[2] > 0)
+                if begins and not out and not outer[2]:
+                    articles += 1
+                stack.append((name, out, outer[2] or (articles if begins and not out else 0)))
                 if name == "p" and len(stack) > 1 and stack[-2][0] == "p":
                     del stack[-2]
-            excluded, in_article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            excluded, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
             heading = not closing and len(name) == 2 and name[0] == "h"
     end()
-    return blocks, has_article
+    return blocks, articles > 0
 
 
-def _first_pass(b: Block, has_article: bool, rules: Rules) -> str:
-    """good or bad where a block decides itself, else short or near."""
-    if b.excluded or (has_article and not b.in_article):
-        return "bad"
-    if b.in_article:
-        return "good"
-    if b.link_density > rules.link_density:
-        return "bad"
+def _words(b: Block, rules: Rules) -> str:
+    """good or bad by length and stop words, else near or short."""
     if len(b.text) < rules.short:
-        return "bad" if b.link_density > 0 else "short"
+        return "short"
     words = _WORD.findall(b.text.lower())
     density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
-    if density >= rules.stop_high:
-        return "good" if len(b.text) > rules.long else "near"
+    if density >= rules.stop_high and len(b.text) > rules.long:
+        return "good"
     return "near" if density >= rules.stop_low or len(b.text) <= rules.long else "bad"
 
 
-def classify(blocks: list[Block], has_article: bool, rules: Rules) -> list[bool]:
-    """True for each block of the main text."""
-    first = [_first_pass(b, has_article, rules) for b in blocks]
+def _first_pass(blocks: list[Block], has_article: bool, rules: Rules) -> list[tuple[str, str]]:
+    """Label and what decided it: good or bad, or short or near if nothing did."""
+    words = ["" if b.excluded else _words(b, rules) for b in blocks]
+    prose = {b.article for b, w in zip(blocks, words, strict=True) if w == "good"} - {0}
+    held = prose or ({1} if has_article and all(b.article <= 1 for b in blocks) else set())
+    linked = [not b.excluded and b.link_density >= (rules.article_link_density if b.article in held else rules.link_density) for b in blocks]
+    out = []
+    for i, (b, w) in enumerate(zip(blocks, words, strict=True)):
+        inside = b.article in held
+        if b.excluded:
+            out.append(("bad", "mark"))
+        elif held and not inside:
+            out.append(("bad", "place"))
+        elif linked[i] and (b.links > 1 or not inside or any(0 <= j < len(blocks) and linked[j] and (blocks[j].article in held) == inside for j in (i - 1, i + 1))):
+            out.append(("bad", "links"))
+        elif w == "good" or (w == "bad" and not inside):
+            out.append((w, "words"))
+        elif w == "short" and b.link_density > 0 and not inside:
+            out.append(("bad", "links"))
+        else:
+            out.append(("near" if w == "bad" else w, "inside" if inside else "alone"))
+    return out
+
+
+def decide(blocks: list[Block], has_article: bool, rules: Rules) -> list[tuple[bool, str]]:
+    """For each block whether it is main text, and what decided it."""
+    first = _first_pass(blocks, has_article, rules)
     n = len(first)
-    before, after = [None] * n, [None] * n  # (label, distance) of decided neighbours
-    seen = None
-    for i in range(n):
-        before[i] = seen
-        if first[i] in ("good", "bad"):
-            seen = (first[i], i)
-    seen = None
-    for i in range(n - 1, -1, -1):
-        after[i] = seen
-        if first[i] in ("good", "bad"):
-            seen = (first[i], i)
+    place, at = [], 0  # marked blocks take no room
+    for _, why in first:
+        place.append(at)
+        at += why != "mark"
+
+    def neighbours(order) -> list[tuple[str, int] | None]:
+        seen: dict[bool, tuple[str, int]] = {}
+        found: list = [None] * n
+        for i in order:
+            label, why = first[i]
+            found[i] = seen.get(why == "inside")
+            if label in ("good", "bad"):
+                if why in ("links", "words"):
+                    seen[True] = (label, i)
+                seen[False] = (label, i)
+        return found
+
+    before, after = neighbours(range(n)), neighbours(range(n - 1, -1, -1))
+    any_near = any(label == "near" for label, _ in first)
     out = []
-    for i, label in enumerate(first):
+    for i, (label, why) in enumerate(first):
         if label in ("good", "bad"):
-            out.append(label == "good")
+            out.append((label == "good", why))
+            continue
+        inside, a, b = why == "inside", before[i], after[i]
+        if a is None and b is None:  # nothing decided near it: its place does, or prose stays
+            out.append((inside or label == "near" or not any_near, "place" if inside else "alone"))
             continue
-        a, b = before[i], after[i]
-        if a is None and b is None:  # nothing decided on the page: prose stays
-            out.append(label == "near" or not any(x == "near" for x in first))
-        elif blocks[i].heading and b is not None:  # a heading goes with what it heads
-            out.append(b[0] == "good")
+        if blocks[i].heading and b is not None:  # a heading goes with what it heads
+            near = b[0]
         elif a is None or b is None:
-            out.append((a or b)[0] == "good")
-        elif a[0] == b[0]:
-            out.append(a[0] == "good")
-        elif i - a[1] != b[1] - i:
-            out.append((a if i - a[1] < b[1] - i else b)[0] == "good")
+            near = (a or b)[0]
+        elif a[0] == b[0] or place[i] - place[a[1]] < place[b[1]] - place[i]:
+            near = a[0]
+        elif place[i] - place[a[1]] > place[b[1]] - place[i]:
+            near = b[0]
         else:
-            out.append(label == "near")
+            near = "good" if inside or label == "near" else "bad"
+        out.append((near == "good", "neighbours"))
     return out
 
 
+def classify(blocks: list[Block], has_article: bool, rules: Rules) -> list[bool]:
+    """True for each block of the main text."""
+    return [keep for keep, _ in decide(blocks, has_article, rules)]
+
+
+def decisions(page: str | None, rules: Rules = Rules()) -> Counter:
+    """How many of a page's blocks each rule decided: mark, place, links, words, neighbours, alone."""
+    return Counter(why for _, why in decide(*blocks_of(page or ""), rules))
+
+
 def main_text(page: str | None, rules: Rules = Rules()) -> str:
     if not page:
         return ""
