@@ -63,3 +63,13 @@ def test_edges_and_native_plan(edge, nothing):
     assert out.count() == edge.count() and licenses.digest(licenses.scan(nothing)).count() == 0
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().toString())
     assert prose is not None
+
+
+def test_thousands_of_places_and_long_runs(spark):
+    texts = ["Licensed under the MIT License, GPLv3 or CC BY-SA 4.0. " * 1500, "gpl-3.0 " * 3000 + "x", "cc by " * 2000]
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: tuple(r)[1:] for r in licenses.digest(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got[0][5] == "cc-by,cc-by-sa-4.0,gpl-3.0,mit" and got[0][1] == 1500 and got[2][1] == 2000
+    assert got[1] == slow(texts[1])
+    runs = [x * n for x, n in ((" ", 10**6), ("\n", 10**6), ("a", 10**6), ("7", 10**6), ("b.", 300_000), ("<", 10**6), ('"', 10**6), ("a-", 300_000), ("licensed ", 30_000), ("copyright", 30_000), ("copyright ", 30_000), ("under the ", 30_000))]
+    assert licenses.digest(licenses.scan(spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string"))).count() == len(runs)

@@ -2,19 +2,22 @@
 
 A row of ``NAMES`` is a hand-written signature of one licence: the label, a
 literal keyword that every match contains, and a regular expression over
-lower-case text in which a space stands for any run of white space. ``FORMS``
-puts each signature into the ways a text states it (an SPDX tag, a notice, a
-link, a bare mention), which makes several hundred rules, ordered by priority.
+lower-case text in which a space stands for any run of white space. ``IDS`` are
+short names that count only where a text states a licence. ``FORMS`` puts these
+some 240 signatures into the ways a text states them (an SPDX tag, a notice, a
+header, a bare mention); the rules so made are ordered by priority.
 
 A text is first tried for a dozen anchors, one of which is part of every
 keyword; only texts that have one are tried for keywords, and only rules whose
 keyword is there are matched. All places of all matching rules are gathered,
-and a place that lies inside one of a higher priority is suppressed. Everything
-is built-in expressions on the row itself: no shuffle, no Python.
+and a place that lies inside one of a higher priority is suppressed in one sweep
+over the places in their order. Everything is built-in expressions on the row itself: no shuffle, no Python.
 
 Defined results: a null or empty text has no words, no labels and score 0; a
-null ``doc_id`` and repeated rows are scanned like any other; other columns are
-ignored; an empty table gives no rows.
+null ``doc_id`` and repeated rows are scanned like any other; texts of any length
+are scanned whole; of places that start alike the longest, then the first rule,
+goes first; other columns are ignored, whatever their names; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -333,14 +336,52 @@ def _places(text: Column, rule: Column) -> Column:
     gaps = F.split(text, rule.regex, -1)
     steps = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("len")))
     real = F.filter(steps, lambda x: x["len"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-    walk = F.aggregate(
-        real,
-        start,
-        lambda a, x: F.struct((a.at + x["gap"] + x["len"]).alias("at"), F.array_append(a.out, F.struct((a.at + x["gap"]).alias("start"), (a.at + x["gap"] + x["len"]).alias("end"))).alias("out")),
-        lambda a: a.out,
-    )
-    return F.transform(walk, lambda p: F.struct(rule.priority.alias("priority"), rule.label.alias("label"), rule.confidence.alias("confidence"), p.start.alias("start"), p.end.alias("end")))
+
+    def walk(part, begin):
+        start = F.struct(begin.alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+        return F.aggregate(
+            part,
+            start,
+            lambda a, x: F.struct((a.at + x["gap"] + x["len"]).alias("at"), F.array_append(a.out, F.struct((a.at + x["gap"]).alias("start"), (a.at + x["gap"] + x["len"]).alias("end"))).alias("out")),
+            lambda a: a.out,
+        )
+
+    widths = F.transform(_chunks(real), lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x["gap"] + x["len"]))
+    begins = F.transform(widths, lambda w, i: F.aggregate(F.slice(widths, F.lit(1), i), F.lit(0), lambda a, x: a + x))
+    every = F.when(F.size(real) <= CHUNK, walk(real, F.lit(0))).otherwise(F.flatten(F.zip_with(_chunks(real), begins, walk)))
+    return F.transform(every, lambda p: F.struct(p.start.alias("start"), (-p.end).alias("minus_end"), rule.priority.alias("priority"), rule.label.alias("label"), rule.confidence.alias("confidence")))
+
+
+#: Steps that one fold takes: what it appends to is copied each time.
+CHUNK = 256
+_PLACE = "struct<start:int,minus_end:int,priority:int,label:string,confidence:double>"
+
+
+def _chunks(items: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(items) - 1) / CHUNK).cast("int"), F.lit(0))), lambda k: F.slice(items, k * CHUNK + 1, CHUNK))
+
+
+def _outermost(places: Column) -> Column:
+    """Places that lie in none of a higher priority: a sweep from left to right.
+
+    In the order of start, then longest, then priority, what holds a place
+    stands before it, and only places that have not ended need be looked at.
+    """
+    none = F.array().cast(f"array<{_PLACE}>")
+
+    def step(a, d):
+        live = F.filter(a.live, lambda h: h.minus_end < -d.start)
+        inside = F.exists(live, lambda h: (h.priority < d.priority) & (h.minus_end <= d.minus_end))
+        return F.struct(F.array_append(live, d).alias("live"), F.when(inside, a.out).otherwise(F.array_append(a.out, d)).alias("out"))
+
+    def sweep(part, live):
+        return F.aggregate(part, F.struct(live.alias("live"), none.alias("out")), step)
+
+    in_order = F.array_sort(places)
+    start = F.struct(none.alias("live"), F.array().cast(f"array<array<{_PLACE}>>").alias("out"))
+    chunked = F.aggregate(_chunks(in_order), start, lambda a, c: F.transform(F.array(sweep(c, a.live)), lambda x: F.struct(x.live.alias("live"), F.array_append(a.out, x.out).alias("out")))[0], lambda a: F.flatten(a.out))
+    kept = F.when(F.size(places) <= 1, places).when(F.size(places) <= CHUNK, sweep(in_order, none).out).otherwise(chunked)
+    return F.transform(kept, lambda d: F.struct(d.priority.alias("priority"), d.label.alias("label"), d.confidence.alias("confidence"), d.start.alias("start"), (-d.minus_end).alias("end")))
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -371,9 +412,8 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.flatten(F.transform(F.filter(table, lambda r: F.col("flat").contains(r.keyword) & F.call_function("rlike", F.col("low"), r.regex)), lambda r: _places(F.col("low"), r))),
         ).alias("all"),
     )
-    inside = F.filter("all", lambda d: ~F.exists("all", lambda h: (h.priority < d.priority) & (h.start <= d.start) & (h.end >= d.end)))
     empty = F.array().cast("array<struct<priority:int,label:string,confidence:double,start:int,end:int>>")
-    return hit.select("doc_id", "n_words", *[f"base_{i}" for i in range(len(PHRASES))], F.when(F.size("all") > 0, inside).otherwise(empty).alias("detections"))
+    return hit.select("doc_id", "n_words", *[f"base_{i}" for i in range(len(PHRASES))], F.when(F.size("all") > 0, _outermost(F.col("all"))).otherwise(empty).alias("detections"))
 
 
 def digest(found: DataFrame) -> DataFrame:
