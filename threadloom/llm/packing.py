@@ -41,7 +41,8 @@ END = 0
 GROUP_ROWS = 1 << 15
 #: Characters in a row, all white space or none, that only ``tokenizers`` encodes.
 LONG_RUN = 1000
-_OWN = re.compile(rf"[^\x00-ɏ]|\s{{{LONG_RUN}}}|\S{{{LONG_RUN}}}")
+_WIDE = re.compile("[^\x00-ɏ]")
+_GAP = re.compile(rf"\s{{{LONG_RUN}}}")
 
 
 def tokenizer_path() -> str:
@@ -57,6 +58,16 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _long_run(text: str) -> bool:
+    """Whether ``LONG_RUN`` characters in a row are all white space, or none is."""
+    words = text.split()
+    lengths = list(map(len, words))
+    if max(lengths, default=0) >= LONG_RUN:
+        return True
+    spare = len(text) - sum(lengths) - len(words) + 1  # white space beyond one between words
+    return spare >= LONG_RUN - 1 and _GAP.search(text) is not None
+
+
 class Encoder:
     """Text to token ids, for one tokenizer file."""
 
@@ -74,7 +85,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("same", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if _OWN.search(text):
+        if _WIDE.search(text) or _long_run(text):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self.fast.encode_ordinary(text), np.uint32)
 
