@@ -52,6 +52,22 @@ def duplicates(tweets: DataFrame) -> DataFrame:
     ).withColumn("reduction_pct", scalar.percent(F.col("excess"), F.col("total")))
 
 
+def duplicate_rows(tweets: DataFrame, n: int = 10) -> DataFrame:
+    """All rows of ``n`` ids that occur more than once: those of the smallest digests."""
+    twice = tweets.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.md5("id"), "id").limit(n).select("id")
+    return tweets.join(F.broadcast(twice), "id", "left_semi").select("id", "tweet_type", "user_screen_name", "archive_file", "full_text")  # n rows
+
+
+def table_profile(df: DataFrame, at: str, text: str = "full_text") -> DataFrame:
+    """Rows, distinct rows, range of times and texts with entities of a table."""
+    each = df.groupBy(*df.columns).agg(F.count("*").alias("__n"))  # copies shrink before they meet
+    holds = lambda x: F.coalesce(F.sum(F.when(F.col(text).contains(x), F.col("__n"))), F.lit(0))
+    return each.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"), F.count("*").alias("unique_rows"), F.min(at).alias("first_at"), F.max(at).alias("last_at"),
+        holds("@").alias("with_at"), holds("#").alias("with_hash"), holds("http").alias("with_link"),
+    )
+
+
 def type_pairs(tweets: DataFrame) -> DataFrame:
     """Kinds of the two best versions of duplicated ids, in one pass over windows."""
     order = Window.partitionBy("id").orderBy(scalar.type_priority("tweet_type"), "tweet_type", "archive_file", "full_text")
@@ -119,7 +135,7 @@ def top_liked(consolidated: DataFrame, top: int = 5) -> DataFrame:
 def sample_of_type(tweets: DataFrame, kind: str, n: int = 3, seed: int = 7) -> DataFrame:
     """A repeatable sample: smallest hashes first."""
     rows = tweets.where(F.col("tweet_type") == kind)
-    return rows.orderBy(F.xxhash64(F.lit(seed), "id", "archive_file", "full_text"), "id").limit(n).select("id", "user_screen_name", scalar.preview("full_text", 100).alias("preview"), "archive_file")
+    return rows.orderBy(F.md5(F.concat_ws("\x1f", F.lit(str(seed)), "id", "archive_file", "full_text")), "id").limit(n).select("id", "user_screen_name", scalar.preview("full_text", 100).alias("preview"), "archive_file")
 
 
 def text_profile(docs: DataFrame, by: str, text: str = "text") -> DataFrame:

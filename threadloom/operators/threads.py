@@ -6,7 +6,7 @@ ids must be unique (see ``consolidate.best_versions``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.operators.durable import written
@@ -107,6 +107,14 @@ def hot_threads(posts: DataFrame, least: int = 5, top: int = 5) -> DataFrame:
     return counted.where(F.col("reply_count") >= least).orderBy(F.desc("reply_count"), "thread_id").limit(top)
 
 
+def hot_members(posts: DataFrame, least: int = 5, top: int = 5) -> DataFrame:
+    """Posts of the hottest threads, the parent among them, with their place in time."""
+    hot = F.broadcast(hot_threads(posts, least, top).select("thread_id"))  # top rows
+    replies = posts.join(hot, posts.parent_id == F.col("thread_id"))
+    both = replies.unionByName(posts.join(hot, posts.id == F.col("thread_id")))
+    return both.withColumn("place", F.row_number().over(Window.partitionBy("thread_id").orderBy("created_at", "id")).cast("long"))
+
+
 def interactions(posts: DataFrame) -> DataFrame:
     """Who answers whom: counts of replies, cross-user ones and distinct pairs."""
     parents = posts.select(F.col("id").alias("parent_id"), F.col("author").alias("parent_author"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from threadloom.plans import archive_queries
 from threadloom.plans.carriers import IDENTITY, SOURCE, THREAD, duck
 
 _SRC = f"src AS ({duck(SOURCE)})"
@@ -164,4 +165,4 @@ ORACLE |= {
 
 def oracle(domain_cases: list[str]) -> dict[str, str]:
     listed = ", ".join(f"'{x}'" for x in domain_cases)
-    return ORACLE | {"domain_names": ORACLE["domain_names"].replace("{cases}", listed)}
+    return ORACLE | archive_queries.SQL | {"domain_names": ORACLE["domain_names"].replace("{cases}", listed)}

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from threadloom.functions import links, markup, scalar
 from threadloom.operators import consolidate, exports, identity, merging, profile, threads
 from threadloom.operators import links as url_ops
-from threadloom.plans import carriers
+from threadloom.plans import archive_queries, carriers
 
-Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Q: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(archive_queries.Q)
 
 
 def query(f):
