@@ -83,3 +83,34 @@ def test_streams_of_events(spark, tmp_path):
         q = df.writeStream.format("memory").queryName(f"m{i}").outputMode(mode).option("checkpointLocation", str(tmp_path / f"c{i}")).trigger(availableNow=True).start()
         q.awaitTermination()
         assert spark.table(f"m{i}").count() == n
+
+
+def test_reports_and_replacement_with_backup(spark, tmp_path):
+    from threadloom.operators import consolidate, profile
+    from threadloom.plans import carriers
+    from threadloom.sources import sinks
+
+    tweets = carriers.source(spark, "/root/testdata/sf0.001")
+    seen = profile.verification(tweets, consolidate.consolidated(tweets)) | profile.inspection(tweets)
+    assert all(df.count() >= 1 for k, df in seen.items() if k != "duplicate_rows")
+    path = str(tmp_path / "t")
+    assert sinks.with_backup(spark.range(3), path) is None
+    old = sinks.with_backup(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and spark.read.parquet(old).count() == 3
+    sinks.by_user(spark.createDataFrame([(i, "hot" if i % 3 else f"u{i}") for i in range(90)], "id long, user_screen_name string"), path + "u", rows_per_file=10)
+    out = spark.read.parquet(path + "u")
+    assert out.count() == 90 and out.where("user_safe = 'hot'").count() == 60
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from threadloom.operators import durable
+
+    unset = SimpleNamespace(isDefined=lambda: False)
+    for master in ("yarn", "spark://h:1", "local-cluster[2,1,1024]", "k8s://x"):
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset))))
+        with pytest.raises(ValueError, match="checkpoint"):
+            durable.shared_dir(fake)

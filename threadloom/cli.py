@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.operators import consolidate, exports, threads
+from threadloom.operators import consolidate, exports, profile, threads
 from threadloom.operators import links as url_ops
 from threadloom.sources import archives, sinks
 
@@ -22,7 +22,7 @@ def _posts(tweets):
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="threadloom", description=__doc__)
-    p.add_argument("command", choices=["build", "users", "consolidate", "threads", "export", "urls", "signatures"])
+    p.add_argument("command", choices=["build", "users", "consolidate", "threads", "export", "urls", "signatures", "canonicalize", "verify", "inspect", "url-report"])
     p.add_argument("archives", help="folder of *_archive.json files")
     p.add_argument("output")
     p.add_argument("--format", default="oai", choices=sorted(exports.FORMATS))
@@ -43,11 +43,20 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "export":
         lines = exports.export(threads.direct_threads(_posts(tweets)), a.format, a.system_message)
         sinks.lines(lines.orderBy("root_id"), a.output)
-    elif a.command == "urls":
+    elif a.command == "canonicalize":
+        sinks.lines(exports.canonical_json(consolidate.canonical(tweets)), a.output)
+    elif a.command == "verify":
+        for name, table in profile.verification(tweets, consolidate.consolidated(tweets)).items():
+            sinks.parquet(table, f"{a.output}/{name}")
+    elif a.command == "inspect":
+        for name, table in profile.inspection(tweets).items():
+            sinks.parquet(table, f"{a.output}/{name}")
+    elif a.command in ("urls", "url-report"):
         posts = tweets.where("tweet_type = 'tweet'").select(
             F.regexp_replace("archive_file", r"_archive\.json$", "").alias("username"), F.col("id").alias("tweet_id"), F.col("created_at").alias("tweet_created_at"), "full_text", F.col("urls").alias("entity_urls")
         )
-        sinks.parquet(url_ops.url_table(posts), a.output)
+        table = url_ops.url_table(posts)
+        sinks.parquet(url_ops.overall(table) if a.command == "url-report" else table, a.output)
     else:
         sinks.parquet(archives.format_signatures(found), a.output)
     return 0

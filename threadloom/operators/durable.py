@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,12 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary one only where unset."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
+
+    Only a local master may go without one: a temporary folder, which its single
+    JVM sees as a whole. On a cluster each executor would write to its own disk.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = held.get() if held.isDefined() else None
     if not found:
+        if not re.match(r"local(\[(?!.*cluster)|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="threadloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -26,3 +33,9 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_dir(spark)}/threadloom/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all written tables of the shared folder; no result that reads them may be open."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/threadloom")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -157,3 +157,17 @@ def array_lengths(df: DataFrame, column: str, by: str) -> DataFrame:
 def rows_with(df: DataFrame, column: str, value) -> DataFrame:
     """Rows of one value, by a bound parameter."""
     return df.sparkSession.sql(f"SELECT * FROM {{t}} WHERE `{column}` = :value", args={"value": value}, t=df)
+
+
+def verification(original: DataFrame, consolidated: DataFrame) -> dict[str, DataFrame]:
+    """The whole report on a consolidation: what it kept, lost and inferred."""
+    return {
+        "counts": counts(original), "kept": counts(consolidated), "types": type_shares(original), "duplicates": duplicates(original), "type_pairs": type_pairs(original), "duplicate_rows": duplicate_rows(original),
+        "missing_ids": missing_ids(original, consolidated), "gaps": gaps(consolidated), "most_liked": top_liked(consolidated),
+    }
+
+
+def inspection(tweets: DataFrame) -> dict[str, DataFrame]:
+    """The whole report on a table of posts."""
+    plain = tweets.select(*[c for c, t in tweets.dtypes if not t.startswith(("array", "map", "struct"))])
+    return {"counts": counts(tweets), "types": type_shares(tweets), "archives": share_by(tweets, "archive_file"), "gaps": gaps(tweets), "nulls": null_checks(tweets), "replies": reply_stats(tweets), "table": table_profile(plain, "created_at")}

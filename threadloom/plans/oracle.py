@@ -25,7 +25,7 @@ _CLO = """up AS (SELECT t.id, p.id AS pid FROM thr t LEFT JOIN thr p ON p.id = t
 _REC = f"WITH RECURSIVE {_THR}, {_CLO}"
 _DIR = """dir AS (SELECT r.id AS root_id, any_value(r.text) AS root_text, any_value(r.created_at) AS root_at, count(*) + 1 AS length,
   list({'at': c.created_at, 'id': c.id, 'text': c.text} ORDER BY c.created_at, c.id) AS replies FROM thr r JOIN thr c ON c.parent_id = r.id WHERE r.parent_id IS NULL GROUP BY r.id)"""
-_SIMPLE = "sim AS (SELECT * REPLACE (regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g') AS text) FROM thr)"
+_SIMPLE = "sim AS (SELECT * FROM thr)"
 _TURNS = "list_concat([{'at': root_at, 'id': root_id, 'text': root_text}], replies)"
 _URL = r"'^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$'"
 
@@ -62,7 +62,7 @@ def _msgs(turns: str) -> str:
 
 
 def _turn(role: str, text: str) -> str:
-    return f"""'{{"role":"' || {role} || '","content":"' || {text} || '"}}'"""
+    return f"""'{{"role":"' || {role} || '","content":' || CAST(to_json({text}) AS VARCHAR) || '}}'"""
 
 
 _ALT = "CASE WHEN i % 2 = 1 THEN 'user' ELSE 'assistant' END"
@@ -139,9 +139,9 @@ ORACLE: dict[str, str] = {
     "export_markdown": f"WITH {_THR} SELECT id, md5('# Tweet ' || id || chr(10) || chr(10) || {_CLEAN.format('text')} || chr(10) || chr(10) || 'Posted on: ' || strftime(created_at, '{_SEC}') || chr(10) || chr(10)) AS md5 FROM thr",
     "export_markdown_threads": f"WITH {_THR}, {_DIR} SELECT root_id, md5('# Thread started on ' || strftime(root_at, '{_SEC}') || chr(10) || chr(10) || array_to_string(list_transform({_TURNS}, lambda t: '## ' || strftime(t.at, '{_SEC}') || chr(10) || chr(10) || t.text || chr(10) || chr(10)), '')) AS md5 FROM dir",
     "export_jsonl": f"WITH {_THR}, {_SIMPLE}, {_DIR.replace('FROM thr', 'FROM sim').replace('JOIN thr', 'JOIN sim')} SELECT root_id, md5({_msgs('list_transform(' + _TURNS + ', lambda t, i: ' + _turn(_ALT, 't.text') + ')')}) AS md5 FROM dir",
-    "export_chat": f"WITH {_THR}, {_SIMPLE}, {_DIR.replace('FROM thr', 'FROM sim').replace('JOIN thr', 'JOIN sim')} SELECT root_id, md5({_msgs('list_transform(' + _TURNS + ', lambda t, i: ' + _turn(_ALT, 't.text || ' + chr(39) + chr(92) + 'n[Posted on ' + chr(39) + ' || strftime(t.at, ' + chr(39) + _SEC + chr(39) + ') || ' + chr(39) + ']' + chr(39)) + ')')}) AS md5 FROM dir",
+    "export_chat": f"WITH {_THR}, {_SIMPLE}, {_DIR.replace('FROM thr', 'FROM sim').replace('JOIN thr', 'JOIN sim')} SELECT root_id, md5({_msgs('list_transform(' + _TURNS + ', lambda t, i: ' + _turn(_ALT, 't.text || chr(10) || ' + chr(39) + '[Posted on ' + chr(39) + ' || strftime(t.at, ' + chr(39) + _SEC + chr(39) + ') || ' + chr(39) + ']' + chr(39)) + ')')}) AS md5 FROM dir",
     "export_training": f"WITH {_THR}, {_SIMPLE}, {_DIR.replace('FROM thr', 'FROM sim').replace('JOIN thr', 'JOIN sim')} SELECT root_id, md5({_msgs('list_transform(' + _TURNS + ', lambda t: ' + _turn(chr(39) + 'user' + chr(39), _CLEAN.format('t.text')) + ')')}) AS md5 FROM dir",
-    "export_posts": f"""WITH {_THR}, {_SIMPLE} SELECT id, md5('{{"id":"' || id || '","text":"' || text || '","created_at":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S') || '+00:00","media":[],"metadata":null}}') AS md5 FROM sim""",
+    "export_posts": f"""WITH {_THR}, {_SIMPLE} SELECT id, md5('{{"id":"' || id || '","text":' || CAST(to_json(text) AS VARCHAR) || ',"created_at":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S') || '+00:00","media":[],"metadata":null}}') AS md5 FROM sim""",
     "html_titles": "SELECT page_id, nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title FROM pages",
     "html_links": """WITH p AS (SELECT page_id, list_sort(list_distinct(list_filter(regexp_extract_all(replace(html, 'href="/', 'href="https://example.net/'), '<a\\s[^>]*href="([^"]*)"', 1), lambda u: regexp_matches(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]')))) AS l FROM pages)
  SELECT page_id, CAST(len(l) AS BIGINT) AS n_links, md5(array_to_string(l, chr(10))) AS links_md5 FROM p""",

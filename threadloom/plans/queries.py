@@ -367,27 +367,22 @@ def export_markdown_threads(spark, sf):
 
 @query
 def export_jsonl(spark, sf):
-    return exports.jsonl_thread(threads.direct_threads(_plain(carriers.threads(spark, sf)))).select("root_id", F.md5("line").alias("md5"))
+    return exports.jsonl_thread(threads.direct_threads(carriers.threads(spark, sf))).select("root_id", F.md5("line").alias("md5"))
 
 
 @query
 def export_chat(spark, sf):
-    return exports.chat_thread(threads.direct_threads(_plain(carriers.threads(spark, sf)))).select("root_id", F.md5("line").alias("md5"))
+    return exports.chat_thread(threads.direct_threads(carriers.threads(spark, sf))).select("root_id", F.md5("line").alias("md5"))
 
 
 @query
 def export_training(spark, sf):
-    return exports.training_thread(threads.direct_threads(_plain(carriers.threads(spark, sf)))).select("root_id", F.md5("line").alias("md5"))
+    return exports.training_thread(threads.direct_threads(carriers.threads(spark, sf))).select("root_id", F.md5("line").alias("md5"))
 
 
 @query
 def export_posts(spark, sf):
-    return exports.jsonl(_plain(carriers.threads(spark, sf))).select("id", F.md5("line").alias("md5"))
-
-
-def _plain(posts: DataFrame) -> DataFrame:
-    """Letters, digits and spaces only: both engines then write the same JSON."""
-    return posts.withColumn("text", F.regexp_replace("text", "[^A-Za-z0-9 ]", ""))
+    return exports.jsonl(carriers.threads(spark, sf)).select("id", F.md5("line").alias("md5"))
 
 
 def _linked(spark, sf) -> DataFrame:

@@ -15,10 +15,14 @@ def parquet(df: DataFrame, path: str, rows_per_file: int = 100_000, mode: str =
     df.write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
-def by_user(df: DataFrame, path: str, user: str = "user_screen_name") -> None:
-    """One folder a user, by file-safe names; rows without a name go to ``_``."""
+def by_user(df: DataFrame, path: str, user: str = "user_screen_name", rows_per_file: int = 100_000) -> None:
+    """One folder a user, by file-safe names; rows without a name go to ``_``.
+
+    Rows meet by user, but the exchange may be dealt anew: adaptive execution
+    splits a hot user's rows over tasks, and files are bounded.
+    """
     named = scalar.safe_name(F.coalesce(F.nullif(F.col(user), F.lit("")), F.lit("_")))
-    df.withColumn("user_safe", named).repartition("user_safe").write.mode("overwrite").partitionBy("user_safe").parquet(path)
+    df.withColumn("user_safe", named).hint("rebalance", F.col("user_safe")).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("user_safe").parquet(path)
 
 
 def lines(df: DataFrame, path: str, column: str = "line", single: bool = False) -> None:
@@ -28,16 +32,22 @@ def lines(df: DataFrame, path: str, column: str = "line", single: bool = False)
 
 
 def with_backup(df: DataFrame, path: str) -> str | None:
-    """Overwrites ``path``; an earlier state is renamed to ``path.backup-<time>``."""
+    """Replaces ``path``; an earlier state is renamed to ``path.backup-<time>``.
+
+    The new state is written beside it first, so a write that fails leaves the
+    earlier one in place.
+    """
     spark = df.sparkSession
     jvm = spark._jvm
-    old = jvm.org.apache.hadoop.fs.Path(path)
+    stamp = time.strftime("%Y%m%d-%H%M%S")
+    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.new-{stamp}")
     fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    parquet(df, str(new.toString()))
     backup = None
     if fs.exists(old):
-        backup = f"{path}.backup-{time.strftime('%Y%m%d-%H%M%S')}"
+        backup = f"{path}.backup-{stamp}"
         fs.rename(old, jvm.org.apache.hadoop.fs.Path(backup))
-    parquet(df, path)
+    fs.rename(new, old)
     return backup
 
 
