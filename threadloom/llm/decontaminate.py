@@ -15,8 +15,10 @@ the hits of a document are joined by a key of its row.
 Defined results: a null text has no words; an item without words fits nowhere;
 an item of fewer than ``window`` words is one window, found by its own length;
 an item without ``item_id`` marks words but is not listed; repeated items are
-listed once an id; repeated document rows are judged each; other columns of
-the benchmark are ignored, those of the documents stay where asked for.
+listed once an id; repeated document rows are judged each; texts of any length
+are searched whole; other columns of the benchmark are ignored, those of the
+documents stay where asked for, whatever their names; an empty table of documents
+gives no rows, an empty benchmark no hits.
 """
 
 from __future__ import annotations
@@ -195,7 +197,7 @@ def contamination(
     size = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
     pairs = pairs.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     if marks:
         texts = texts.withColumn("mark", text_mark(F.col("text")))
     if n > 1:

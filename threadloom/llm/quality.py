@@ -11,7 +11,9 @@ Defined results: a null text is an empty one; documents without label are only
 judged; labels that disagree on a document count as its worst; labels without
 document are passed over; with no labels, or labels of one kind, the list is
 empty and all that passes the base rules is kept; a null ``doc_id`` is judged
-and never labelled; repeated rows are judged each.
+and never labelled; repeated rows are judged each; texts of any length are taken
+whole; ties between conditions go to the first feature and lowest threshold;
+other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -94,7 +96,7 @@ def document_statistics(docs: DataFrame, text_col: str = "text", marks: bool = F
     def make():
         return lambda rows: [(*statistics_of(*r[:2]), *r[2:]) for r in rows]
 
-    text = F.col(text_col).cast("string")
+    text = F.col(f"`{text_col}`").cast("string")
     more = [text_mark(text).alias("mark")] if marks else []
     schema = T.StructType(SCHEMA.fields + [T.StructField("mark", T.StringType()) for _ in more])
     return map_rows(docs.select(F.col("doc_id").cast("long"), text.alias("text"), *more), make, schema, weigh=1)

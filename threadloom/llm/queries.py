@@ -22,4 +22,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can express; the others are tested by brute force."""
-    return {"op5_winnowing": sql.DECONTAMINATION}
+    return {"op5_winnowing": sql.DECONTAMINATION, "op10_cover_names": sql.REPEATS}

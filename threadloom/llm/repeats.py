@@ -27,7 +27,8 @@ document keys with one row a key on one side.
 
 Defined results: a null text is empty; texts shorter than ``length`` have
 nothing removed; repeated rows, with or without ``doc_id``, are each other's
-copies; other columns are ignored; an empty table gives no rows.
+copies; texts of any length are read whole, in slices; other columns are ignored,
+whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

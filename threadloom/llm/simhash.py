@@ -15,7 +15,9 @@ group; a distributed star contraction joins the forests.
 Defined results: a null or empty text has no words and the zero fingerprint,
 which links like any other; a null ``doc_id`` keeps its row and is passed over
 when the smallest id of a component is chosen (null if there is no other);
-repeated rows come out repeatedly; other columns are ignored.
+repeated rows come out repeatedly; texts of any length are taken whole, their
+shingles counted in slices; other columns are ignored, whatever their names; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -64,7 +66,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3) -> D
 
         return work
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), F.col(text_col).cast("string").alias("text")), make, schema, weigh=1)
+    return map_rows(docs.select(F.col("doc_id").cast("long"), F.col(f"`{text_col}`").cast("string").alias("text")), make, schema, weigh=1)
 
 
 def _bit_counts(fps: np.ndarray) -> np.ndarray:
@@ -184,18 +186,19 @@ def links(distinct: DataFrame, radius: int = 3, block_rows: int = 1 << 16) -> Da
     return map_rows(both, make, edge, weigh=2, chunk_rows=1)
 
 
-def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` of every node in ``edges (u, v)``: root is the smallest.
 
     Large-star and small-star contraction. Minima are aggregates with map-side
     combining, and the joins have the minima, one row a node, on one side and
     plain tables on both, so a hub of any degree can be split over tasks. Each
-    step is written to the shared folder, which bounds the lineage.
+    step is written to the shared folder, which bounds the lineage. Rounds go on
+    until one changes nothing, which they are sure to reach.
     """
     e = F.col
     now = written(edges.where(e("u") != e("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     mark = None
-    for _ in range(max_rounds):
+    while True:
         # large star: larger neighbours link to the smallest neighbour
         both = now.union(now.select("v", "u"))
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-least")
@@ -208,8 +211,6 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         if mark == tuple(seen):
             break
         mark = tuple(seen)
-    else:
-        raise RuntimeError("components did not settle")
     roots = now.select(e("v").alias("node"), e("v").alias("root")).distinct()
     return now.select(e("u").alias("node"), e("v").alias("root")).unionByName(roots)
 
@@ -237,9 +238,9 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     twice = ids.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     if twice.isEmpty():
         return kept
-    rest = [c for c in docs.columns if c != "doc_id"]
-    repeated = kept.join(twice, "doc_id", "left_semi").select(*docs.columns)
-    one = repeated.groupBy("doc_id").agg(F.max(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("r")).select("doc_id", "r.*").select(*docs.columns)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = kept.join(twice, "doc_id", "left_semi").select("doc_id", F.struct(*names).alias("r"))
+    one = repeated.groupBy("doc_id").agg(F.max_by("r", F.to_json("r")).alias("r")).select("r.*")  # maps have no order of their own
     return without(kept, twice).unionByName(one)
 
 

@@ -17,3 +17,20 @@ its AS (SELECT rid, count(DISTINCT item_id) AS n_items, list(DISTINCT CAST(item_
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(cov.n_hit, 0) AS n_hit, coalesce(its.n_items, 0) AS n_items, sha256(array_to_string(coalesce(its.l, []), ',')) AS items_sha256,
   coalesce(cov.n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN cov ON cov.rid = d.rid LEFT JOIN its ON its.rid = d.rid
 """
+
+#: Every window of 400 bytes by its digest. Texts are hexadecimal, cut into blocks
+#: of 400 window starts so that a long text is not walked through for each window.
+REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT rid, k, substring(h, k * 800 + 1, 1598) AS s FROM (SELECT rid, h, unnest(range((length(h) // 2 + 399) // 400)) AS k FROM d)),
+w AS (SELECT rid, k * 400 + j AS p, md5(substring(s, 2 * j + 1, 800)) AS m FROM (SELECT rid, k, s, unnest(range(400)) AS j FROM c) WHERE 2 * j + 800 <= length(s)),
+twice AS (SELECT m FROM w GROUP BY m HAVING count(*) > 1),
+hit AS (SELECT rid, p, lag(p) OVER (PARTITION BY rid ORDER BY p) AS prev FROM w JOIN twice USING (m)),
+run AS (SELECT rid, p, sum(CASE WHEN p <= prev + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY p) AS g FROM hit),
+gone AS (SELECT rid, g, min(p) AS a, max(p) + 400 AS b FROM run GROUP BY rid, g),
+left_ AS (SELECT rid, g, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS f, a AS t FROM gone UNION ALL SELECT rid, max(g) + 1, max(b), NULL FROM gone GROUP BY rid),
+kept AS (SELECT rid, string_agg(substring(h, 2 * f + 1, CASE WHEN t IS NULL THEN length(h) ELSE 2 * (t - f) END), '' ORDER BY g) AS k FROM left_ JOIN d USING (rid) GROUP BY rid),
+sums AS (SELECT rid, sum(b - a) AS n, count(*) AS s FROM gone GROUP BY rid)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(s, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid) LEFT JOIN sums USING (rid)
+"""
