@@ -431,8 +431,15 @@ def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text", map
 
 
 def session_key(spark) -> str:
-    """The key in ``spark.threadloom.pii.key``; where unset, one drawn for this call."""
-    return spark.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+    """The key in ``spark.threadloom.pii.key``; where unset, one is drawn for the session.
+
+    Calls in one session so agree on every surrogate; sessions do only by a key that is set.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
 
 
 def op1_query(spark, sf_dir: str) -> DataFrame:
