@@ -79,3 +79,20 @@ def test_keeps_clean_and_edges(spark, edge, nothing):
     assert decontaminate.contamination(edge, b.where("false")).where("size(spans) > 0").count() == 0
     hit = spark.createDataFrame([(1, "same line here same line here same line here same")], "item_id long, text string")
     assert 72 not in [r["doc_id"] for r in decontaminate.keep_clean(edge, hit).collect()]
+
+
+def test_joins_give_what_the_index_gives(spark, edge, nothing, monkeypatch):
+    docs, items = planted(7)
+    docs += [(200 + i % 3, docs[0][1]) for i in range(40)]  # a group of copies
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = slow(docs, items)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)  # both joins shuffled
+    for k in (3, 10):
+        assert fast(decontaminate.contamination(d, b, k=k, block_bytes=1)) == want
+    none = decontaminate.contamination(nothing, b, block_bytes=1)
+    assert none.columns == decontaminate.contamination(nothing, b).columns and none.count() == 0
+    hit = spark.createDataFrame([(1, "same line here same line here same line here same"), (None, "one")], "item_id long, text string")
+    kept = decontaminate.keep_clean(edge, hit, block_bytes=1)
+    assert kept.columns == edge.columns
+    assert sorted(map(repr, kept.select("doc_id").collect())) == sorted(map(repr, decontaminate.keep_clean(edge, hit).select("doc_id").collect()))

@@ -7,10 +7,12 @@ holds a fingerprint that both sides keep, so none is missed. Fingerprints are
 joined by a hash join whose build side is the benchmark's index, and every hit
 is extended to the windows around it, which are compared word for word.
 
-The index is broadcast in blocks of at most ``block_bytes`` of benchmark text,
-measured first. One block, the usual case, needs one narrow pass over the
-documents and no shuffle; for a larger benchmark each block gets a pass and
-the hits of a document are joined by a key of its row.
+A benchmark of at most ``block_bytes`` of text, measured first, is broadcast as
+one index: one narrow pass over the documents and no shuffle. Of a larger one
+nothing is collected: fingerprints of both sides are rows that are joined, and
+only the texts with a joint fingerprint are read again, for the windows around
+those, which are joined with the benchmark's windows by their words. Both tables
+of the benchmark have one row a key. Equal texts are extended once.
 
 Defined results: a null text has no words; an item without words fits nowhere;
 an item of fewer than ``window`` words is one window, found by its own length;
@@ -26,14 +28,15 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.llm.common import map_rows, text_mark, without_rows, written
+from threadloom.llm.common import BROADCAST_ROWS, map_rows, text_mark, without_rows, written
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-#: Benchmark text in one broadcast index; its arrays take some 40 times that.
+#: Benchmark text in a broadcast index; its arrays take some 40 times that.
 BLOCK_BYTES = 4 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -77,7 +80,7 @@ def winnow(hashes: np.ndarray, gap: int) -> np.ndarray:
 
 
 class Index:
-    """Fingerprints and windows of a block of benchmark items."""
+    """Fingerprints and windows of a small benchmark."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], window: int, k: int):
         self.window, self.k, self.gap = window, k, window - k + 1
@@ -192,44 +195,116 @@ def contamination(
     ids of the items of which a window occurs. With ``marks`` the text's mark
     goes along.
     """
-    sc = docs.sparkSession.sparkContext
     pairs = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    text = F.col(f"`{text_col}`").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     size = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
-    pairs = pairs.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    if size > block_bytes:
+        found = _joined(texts.withColumn("mark", text_mark(F.col("text"))), pairs, window, k)
+        return found if marks else found.drop("mark")
     if marks:
         texts = texts.withColumn("mark", text_mark(F.col("text")))
-    if n > 1:
-        texts = written(texts.withColumn("row", F.monotonically_increasing_id()), "winnow-rows")
     keys = [c for c in texts.columns if c != "text"]
     schema = T.StructType([T.StructField(c, T.StringType() if c == "mark" else T.LongType()) for c in keys] + _FOUND)
-    parts = []
-    for block in range(n):
-        items = [(r["item_id"], r["text"]) for r in pairs.where(F.col("block") == block).select("item_id", "text").collect()]
-        index = sc.broadcast(Index(items, window, k))
-
-        def make(index=index):
-            def work(rows):
-                found = index.value.scan([r[0] for r in rows])
-                return [(*r[1:], *x) for r, x in zip(rows, found, strict=True)]
-
-            return work
-
-        parts.append(map_rows(texts.select("text", *keys), make, schema))
-    if n == 1:
-        return parts[0]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    some = every.groupBy(*keys).agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    joined = F.expr(
-        "aggregate(s, cast(array() as array<struct<start:bigint,end:bigint>>), (a, x) -> "
-        "if(size(a) > 0 and element_at(a, -1).end >= x.start, "
-        "concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, x.end)))), "
-        "concat(a, array(x))))"
+    index = docs.sparkSession.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in pairs.collect()], window, k))
+
+    def make():
+        def work(rows):
+            found = index.value.scan([r[0] for r in rows])
+            return [(*r[1:], *x) for r, x in zip(rows, found, strict=True)]
+
+        return work
+
+    return map_rows(texts.select("text", *keys), make, schema)
+
+
+def _word_ids(ws: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w) >> 1 for w in ws), np.int64, len(ws))
+
+
+def _kept(ids: np.ndarray, window: int, k: int, widths: list[int]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(width, reach, positions, hashes)`` of a text's fingerprints.
+
+    A fingerprint of a whole window stands for the windows that start up to
+    ``reach`` words before it; one of a short item's width for itself.
+    """
+    out = []
+    for width in widths:
+        if len(ids) >= width:
+            grams = _gram_hashes(ids, k if width == window else width)
+            at = winnow(grams, window - k + 1) if width == window else np.arange(len(grams))
+            out.append((width, window - k if width == window else 0, at, grams[at]))
+    return out
+
+
+def _joined(texts: DataFrame, pairs: DataFrame, window: int, k: int) -> DataFrame:
+    """``contamination`` with ``mark`` by joins, for a benchmark of any size."""
+
+    def item_rows():
+        def work(rows):
+            out = []
+            for text, item in rows:
+                ws = words(text)
+                width = min(window, len(ws))
+                prints = _kept(_word_ids(ws), window, k, [width]) if ws else []
+                out += [(item, width, int(h), None) for *_, found in prints for h in np.unique(found)]
+                out += [(item, width, None, b" ".join(ws[i : i + width])) for i in range(len(ws) - width + 1) if ws]
+            return out
+
+        return work
+
+    c = F.col
+    held = written(map_rows(pairs.select("text", "item_id"), item_rows, T.StructType.fromDDL("item long, width int, print long, words binary")), "winnow-items")
+    widths = sorted(r[0] for r in held.select("width").distinct().collect())  # at most ``window`` of them
+    prints = written(held.where("print is not null").select("print").distinct(), "winnow-prints")
+    windows = written(held.where("words is not null").groupBy("words").agg(F.array_sort(F.collect_set("item")).alias("items")), "winnow-windows")
+
+    def text_rows():
+        def work(rows):
+            out = []
+            for text, *keys in rows:
+                ws = words(text)
+                found = [h for *_, h in _kept(_word_ids(ws), window, k, widths)]
+                out.append((*keys, len(ws), np.unique(np.concatenate(found)).tolist() if found else []))
+            return out
+
+        return work
+
+    own = written(map_rows(texts.select("text", "doc_id", "mark"), text_rows, T.StructType.fromDDL("doc_id long, mark string, n_words long, prints array<long>")), "winnow-texts")
+    few = prints.count() <= BROADCAST_ROWS
+    joint = own.select("mark", F.explode("prints").alias("print")).join(F.broadcast(prints) if few else prints, "print", "left_semi")
+    joint = written(joint.groupBy("mark").agg(F.collect_set("print").alias("joint")), "winnow-joint")
+    some = joint.agg(F.sum(F.size("joint") + 4)).first()[0] or 0
+    again = texts.join(F.broadcast(joint) if some <= BROADCAST_ROWS else joint, "mark").groupBy("mark").agg(F.min("text").alias("text"), F.first("joint").alias("joint"))
+
+    def window_rows():
+        def work(rows):
+            out = []
+            for text, mark, hits in rows:
+                ws = words(text)
+                for width, reach, at, h in _kept(_word_ids(ws), window, k, widths):
+                    at = at[np.isin(h, np.array(hits, np.uint64))]
+                    starts = np.unique((at[:, None] - np.arange(reach + 1)[None, :]).ravel())
+                    starts = starts[(starts >= 0) & (starts <= len(ws) - width)]
+                    out += [(mark, i, i + width, b" ".join(ws[i : i + width])) for i in starts.tolist()]
+            return out
+
+        return work
+
+    near = written(map_rows(again.select("text", "mark", "joint"), window_rows, T.StructType.fromDDL("mark string, start long, end long, words binary")), "winnow-near")
+    hits = written(near.join(windows, "words"), "winnow-hits")
+    order = Window.partitionBy("mark").orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = hits.select("mark", "start", "end").withColumn("opens", F.coalesce(c("start") > before, F.lit(False)).cast("long"))
+    runs = opens.withColumn("run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy("mark", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = runs.groupBy("mark").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    items = hits.select("mark", "words", "items").distinct().select("mark", F.explode("items").alias("item")).groupBy("mark").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    found = written(spans.join(items, "mark", "left"), "winnow-found")
+    none = "cast(array() as array<struct<start:bigint,end:bigint>>)"
+    return own.join(found, "mark", "left").select(
+        "doc_id", "mark", "n_words", F.coalesce("spans", F.expr(none)).alias("spans"), F.coalesce("items", F.expr("cast(array() as array<bigint>)")).alias("items")
     )
-    return some.select("doc_id", *["mark"] * marks, "n_words", joined.alias("spans"), "items")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
