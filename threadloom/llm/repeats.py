@@ -227,8 +227,8 @@ def _settle(ranges: DataFrame, place: tuple[str, ...], tag: str) -> tuple[DataFr
     # written first: a join of plain shuffles is one whose hot names Spark can split
     twice = written(ranges.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), f"{tag}-twice")
     left = written(ranges.join(twice, "name"), f"{tag}-left")
-    unions = left.groupBy("name", "u1", "u2").agg(F.count("*").alias("n"), F.min(where).alias("first"))
-    kinds = unions.groupBy("name").agg(F.count("*").alias("kinds"))
+    unions = written(left.groupBy("name", "u1", "u2").agg(F.count("*").alias("n"), F.min(where).alias("first")), f"{tag}-unions")
+    kinds = written(unions.groupBy("name").agg(F.count("*").alias("kinds")), f"{tag}-kinds")  # counted before the shuffle
     known = written(unions.join(kinds, "name").select("name", "u1", "u2", "n", "kinds", "first"), f"{tag}-known")
     judged = written(left.join(known, ["name", "u1", "u2"]).select("k1", "k2", *place, (F.col("n") > 1).alias("repeated"), ((F.col("kinds") > 1) & ((F.col("n") == 1) | (F.col("first") == where))).alias("open")), f"{tag}-judged")
     return judged.where("repeated"), judged.where("open").select("k1", "k2", *place)
