@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from threadloom.operators.durable import shared_dir, written
 
-__all__ = ["columns_of", "fresh", "map_rows", "shared_dir", "text_mark", "without", "without_rows", "written"]
+__all__ = ["columns_of", "fresh", "map_rows", "ranked", "shared_dir", "text_mark", "without", "without_rows", "written"]
 
 #: Bytes of text that a Python worker holds at once, besides the batch itself.
 CHUNK_BYTES = 1 << 20
@@ -118,3 +118,22 @@ def without_rows(docs: DataFrame, gone: DataFrame, text_col: str = "text") -> Da
     ids = gone.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_mark(F.col(f"`{text_col}`")) == F.col("__mark"))
     return docs.join(F.broadcast(ids) if few else ids, same, "left_anti")
+
+
+def ranked(df: DataFrame, order: list[Column], name: str, tag: str) -> DataFrame:
+    """``df`` with each row's number in ``order`` over all rows, from 1, as column ``name``.
+
+    Rows are dealt by ranges of the order and numbered in each range; what is
+    added is the number of rows before a range, of which there are as many as
+    shuffle partitions. No task holds more than a range, if ``order`` tells equal
+    rows apart. ``df`` is read twice, so it should be a written table.
+    """
+    spark = df.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    at, part, before = fresh("at", df.columns), fresh("part", df.columns), fresh("before", df.columns)
+    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    rows = written(dealt.withColumn(part, F.shiftright(at, 33)), tag)
+    ranges = rows.groupBy(part).agg(F.count("*").alias(before))  # as many as partitions
+    firsts = ranges.select(part, F.expr(f"coalesce(sum({before}) over (order by {part} rows between unbounded preceding and 1 preceding), 0)").alias(before))
+    number = F.col(before) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return rows.join(F.broadcast(firsts), part).withColumn(name, number.cast("long")).drop(at, part, before)

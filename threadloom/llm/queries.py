@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadloom.llm import decontaminate, html, licenses, packing, pii, quality, repeats, sharding, simhash, sql, urls
+from threadloom.llm import decontaminate, html, infill, licenses, mixing, packing, pii, quality, repeats, resampling, sharding, simhash, sql, urls
 
 
 def queries() -> dict:
@@ -17,9 +17,12 @@ def queries() -> dict:
         "op8_best_fit_packing": packing.op8_query,
         "op9_license_rules": licenses.op9_query,
         "op10_cover_names": repeats.op10_query,
+        "op11_checkpoint_infill": infill.op11_query,
+        "op12_entropy_mix": mixing.op12_query,
+        "op13_csr_resampling": resampling.op13_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can express; the others are tested by brute force."""
-    return {"op5_winnowing": sql.DECONTAMINATION, "op10_cover_names": sql.REPEATS}
+    return {"op5_winnowing": sql.DECONTAMINATION, "op10_cover_names": sql.REPEATS, "op11_checkpoint_infill": sql.INFILL, "op13_csr_resampling": sql.RESAMPLING}

@@ -34,3 +34,33 @@ sums AS (SELECT rid, sum(b - a) AS n, count(*) AS s FROM gone GROUP BY rid)
 SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(s, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid) LEFT JOIN sums USING (rid)
 """
+
+#: Lists of lines in place of checkpoints.
+INFILL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS h FROM d),
+c AS (SELECT doc_id, t, u, h, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100 THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT doc_id, t, len(u) AS n, form, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form != 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form != 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
+"""
+
+_CRC_TABLE = "(SELECT list(list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, byte) ORDER BY byte) FROM range(256) r(byte))"
+
+#: Counts of words by equality, each distinct word's CRC-32 from the table of its polynomial.
+RESAMPLING = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+dw AS MATERIALIZED (SELECT rid, unnest(w) AS word FROM d), bw AS MATERIALIZED (SELECT unnest({_WORDS}) AS word FROM benchmark),
+k AS MATERIALIZED (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+c AS MATERIALIZED (SELECT {_CRC_TABLE} AS tab),
+b AS MATERIALIZED (SELECT word, xor(list_reduce(list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)), lambda v, y: xor(v >> 8, tab[(xor(v, y) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM k, c),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN b USING (word) GROUP BY bucket), t AS (SELECT bucket, count(*) AS n FROM bw JOIN b USING (word) GROUP BY bucket),
+z AS (SELECT (SELECT count(*) FROM dw) AS sn, (SELECT count(*) FROM bw) AS tn),
+g AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1.0::DOUBLE) * (sn + 10000) / ((s.n + 1.0::DOUBLE) * (tn + 10000)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket), z),
+m AS (SELECT rid, sum(gain) AS weight FROM dw JOIN b USING (word) JOIN g USING (bucket) GROUP BY rid),
+e AS (SELECT rid, doc_id, len(w) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight, CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN m USING (rid)),
+f AS (SELECT rid, doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM e),
+r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) OVER () AS n FROM f WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM f LEFT JOIN r USING (rid)
+"""
