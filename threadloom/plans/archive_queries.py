@@ -7,13 +7,16 @@ themselves and knows nothing of documents.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import scalar
 from threadloom.operators import profile, threads
+from threadloom.operators.durable import shared_dir
 from threadloom.plans import carriers
-from threadloom.sources import archives
+from threadloom.sources import archives, splittable, tails
 
 POSTS = {"tweets": ("purchase", "error"), "community-tweet": ("view",), "note-tweet": ("signup",), "like": ("click",)}
 
@@ -51,7 +54,10 @@ def _read(spark, sf) -> DataFrame:
 
 
 def archive_rows(spark, sf):
-    rows = archives.source_tweets(_read(spark, sf))
+    return _flat(archives.source_tweets(_read(spark, sf)))
+
+
+def _flat(rows: DataFrame) -> DataFrame:
     joined = [F.array_join(c, ",").alias(c) for c in ("urls", "hashtags")]
     names = ("id", "tweet_type", "user_id", "user_screen_name", "user_name", "full_text", "in_reply_to_status_id", "favorite_count", "favorited", "is_reply", "archive_file")
     return rows.select(*names, F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSS").alias("created_at"), *joined)
@@ -85,6 +91,33 @@ def archive_metadata(spark, sf):
     return archives.archive_metadata(_read(spark, sf))
 
 
+def _folder(spark, sf) -> str:
+    """The documents as files, one an archive, each in a folder of its name."""
+    path = f"{shared_dir(spark)}/threadloom/archives-{uuid.uuid4().hex}"
+    documents(spark, sf).repartition("archive_file").write.partitionBy("archive_file").text(path)
+    return path
+
+
+_NAME = "regexp_extract(_metadata.file_path, 'archive_file=([^/]*)', 1)"
+
+
+def archive_file_rows(spark, sf):
+    """From files on disk, by the splittable reader."""
+    return _flat(splittable.source_tweets(splittable.read(spark, _folder(spark, sf), "part-*", _NAME)))
+
+
+def archive_file_states(spark, sf):
+    """Which files are archives, and whose."""
+    found = splittable.read(spark, _folder(spark, sf), "part-*", _NAME).archives
+    return found.select("archive_file", "corrupt", F.when(~F.col("corrupt"), F.get(F.col("archive.account"), 0)["account"]["username"]).alias("username"))
+
+
+def archive_file_tails(spark, sf):
+    """Metadata from the ends of files on disk."""
+    found = tails.archive_tails(spark, _folder(spark, sf), "part-*")
+    return found.select(F.regexp_extract("path", r"archive_file=([^/]*)", 1).alias("archive_file"), "metadata")
+
+
 def archive_kinds(spark, sf):
     rows = archives.source_tweets(_read(spark, sf))
     each = [archives.rows_of_kind(rows, k).groupBy().agg(F.lit(k).alias("kind"), F.count("*").alias("n"), F.min("id").alias("first_id")) for k in archives.KINDS]
@@ -128,6 +161,7 @@ def text_previews(spark, sf):
 
 Q = {f.__name__: f for f in (
     archive_rows, archive_conversion, archive_accounts, archive_owners, archive_profiles, archive_quarantine, archive_signatures, archive_metadata, archive_kinds,
+    archive_file_rows, archive_file_states, archive_file_tails,
     duplicate_rows, version_counts, first_authors, hot_thread_members, post_sample, table_profile, text_previews,
 )}
 
@@ -179,3 +213,6 @@ ORDER BY md5('7' || chr(31) || id || chr(31) || archive_file || chr(31) || full_
   strftime(max(created_at), {_MS}) AS last_at, count(*) FILTER (full_text LIKE '%@%') AS with_at, count(*) FILTER (full_text LIKE '%#%') AS with_hash, count(*) FILTER (full_text LIKE '%http%') AS with_link FROM src""",
     "text_previews": "SELECT doc_id, CASE WHEN text IS NULL THEN '[NULL]' ELSE left(text, 40) || '...' END AS preview FROM documents",
 }
+SQL["archive_file_rows"] = SQL["archive_rows"]
+SQL["archive_file_states"] = f"""SELECT 'u' || u || '_archive.json' AS archive_file, false AS corrupt, 'n' || u AS username FROM {_USERS} UNION ALL SELECT 'broken_archive.json', true, NULL"""
+SQL["archive_file_tails"] = f"""SELECT 'u' || u || '_archive.json' AS archive_file, CASE WHEN user_id % 3 = 0 THEN '{{"etag":"tag' || u || '"}}' END AS metadata FROM {_USERS} UNION ALL SELECT 'broken_archive.json', NULL"""

@@ -17,7 +17,7 @@ SECTIONS = ("tweets", "community-tweet", "note-tweet", "like")
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*_archive.json") -> DataFrame:
     """``archive_file, username, archive, raw, corrupt`` of every file under ``path``."""
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
     files = raw.select(F.col("_metadata.file_name").alias("archive_file"), F.col("value").alias("raw"))
     return parse_archives(files)
 
@@ -32,6 +32,7 @@ def parse_archives(files: DataFrame) -> DataFrame:
         parsed.alias("archive"),
         "raw",
         (shape.isNull() | ~F.coalesce(F.schema_of_variant(shape).startswith("OBJECT"), F.lit(False))).alias("corrupt"),
+        *[c for c in files.columns if c not in ("archive_file", "raw")],
     )
 
 
@@ -63,7 +64,8 @@ def owners(archives: DataFrame) -> DataFrame:
     )
     ident = F.coalesce(p("userInformations", "id"), p("id"), F.lit(""))
     name = F.coalesce(p("userInformations", "displayName"), p("displayName"), p("name"), _filled(screen), F.lit(""))
-    return archives.where("not corrupt").select("archive_file", "archive", by_file.alias("by_file"), ident.alias("user_id"), screen.alias("user_screen_name"), name.alias("user_name"))
+    path = ["path"] if "path" in archives.columns else []
+    return archives.where("not corrupt").select(*path, "archive_file", "archive", by_file.alias("by_file"), ident.alias("user_id"), screen.alias("user_screen_name"), name.alias("user_name"))
 
 
 def _at(x: Column, path: tuple[str, ...]) -> Column:
@@ -72,10 +74,15 @@ def _at(x: Column, path: tuple[str, ...]) -> Column:
     return x
 
 
-def _exploded(owned: DataFrame, section: str, wrapper: str) -> DataFrame:
-    entries = F.explode(F.col(f"archive.`{section}`"))
+def _exploded(owned: DataFrame, section: str, wrapper: str, entries: DataFrame | None = None) -> DataFrame:
+    """Owners beside each entry ``p`` of a section: in the archive, and in ``entries (path, section, text)``."""
     own = ["archive_file", "by_file", "user_id", "user_screen_name", "user_name"]
-    return owned.select(*own, entries.alias("e")).select(*own, F.col(f"e.{wrapper}").alias("p")).where("p is not null")
+    every = owned.select(*own, F.explode(F.col(f"archive.`{section}`")).alias("e"))
+    if entries is not None:
+        kind = schemas.ARCHIVE[section].dataType.elementType
+        cut = entries.where(F.col("section") == section).join(owned.select("path", *own), "path")
+        every = every.unionByName(cut.select(*own, F.from_json("text", kind, {"mode": "PERMISSIVE"}).alias("e")))
+    return every.select(*own, F.col(f"e.{wrapper}").alias("p")).where("p is not null")
 
 
 def _or_empty(x: Column) -> Column:
@@ -100,10 +107,10 @@ def _row(kind: str, **columns) -> list[Column]:
     return [base[f.name].cast(f.dataType).alias(f.name) for f in schemas.SOURCE_TWEETS]
 
 
-def _posts(owned: DataFrame, section: str, kind: str) -> DataFrame:
+def _posts(owned: DataFrame, section: str, kind: str, entries: DataFrame | None = None) -> DataFrame:
     p = F.col("p")
     count = lambda x: F.coalesce(x.try_cast("int"), F.lit(0))
-    return _exploded(owned, section, "tweet").select(
+    return _exploded(owned, section, "tweet", entries).select(
         *_row(
             kind, id=_or_empty(p["id_str"]), user_screen_name=F.coalesce(_filled(F.col("user_screen_name")), F.col("by_file")),
             in_reply_to_status_id=p["in_reply_to_status_id_str"], in_reply_to_user_id=p["in_reply_to_user_id_str"], in_reply_to_screen_name=p["in_reply_to_screen_name"],
@@ -117,10 +124,10 @@ def _posts(owned: DataFrame, section: str, kind: str) -> DataFrame:
     )
 
 
-def _notes(owned: DataFrame) -> DataFrame:
+def _notes(owned: DataFrame, entries: DataFrame | None = None) -> DataFrame:
     p, core = F.col("p"), F.col("p.core")
     tag = lambda h: F.coalesce(F.get_json_object(h, "$.text"), h)
-    return _exploded(owned, "note-tweet", "noteTweet").select(
+    return _exploded(owned, "note-tweet", "noteTweet", entries).select(
         *_row(
             "note_tweet", id=_or_empty(p["noteTweetId"]), full_text=_or_empty(core["text"]), created_at=scalar.archive_time(p["createdAt"]),
             urls=_texts(core["urls"], lambda u: F.coalesce(u["expandedUrl"], u["expanded_url"])), hashtags=_texts(core["hashtags"], tag),
@@ -129,20 +136,25 @@ def _notes(owned: DataFrame) -> DataFrame:
     )
 
 
-def _likes(owned: DataFrame) -> DataFrame:
+def _likes(owned: DataFrame, entries: DataFrame | None = None) -> DataFrame:
     """Likes name the account that likes, not the author."""
     p = F.col("p")
     link = _filled(p["expandedUrl"])
     none = F.array().cast("array<string>")
-    return _exploded(owned, "like", "like").select(
+    return _exploded(owned, "like", "like", entries).select(
         *_row("like", id=_or_empty(p["tweetId"]), full_text=_or_empty(p["fullText"]), favorited=F.lit(True), urls=F.when(link.isNotNull(), F.array(link)).otherwise(none))
     )
 
 
 def source_tweets(archives: DataFrame) -> DataFrame:
     """All posts and likes of all archives as rows of 23 columns."""
-    owned = owners(archives)
-    return _posts(owned, "tweets", "tweet").unionByName(_posts(owned, "community-tweet", "community_tweet")).unionByName(_notes(owned)).unionByName(_likes(owned))
+    return rows_of(owners(archives))
+
+
+def rows_of(owned: DataFrame, entries: DataFrame | None = None) -> DataFrame:
+    """Rows of the archives of ``owners`` and of entries that were cut out of them."""
+    posts = _posts(owned, "tweets", "tweet", entries).unionByName(_posts(owned, "community-tweet", "community_tweet", entries))
+    return posts.unionByName(_notes(owned, entries)).unionByName(_likes(owned, entries))
 
 
 def converted(archives: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from threadloom.sources import archives
 
 def archive_stream(spark: SparkSession, path: str, files_per_batch: int = 64, glob: str = "*_archive.json") -> DataFrame:
     """Posts and likes of archives as they arrive, 23 columns."""
-    raw = spark.readStream.schema("value string").option("wholetext", True).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch).text(path)
+    raw = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch).text(path, wholetext=True, pathGlobFilter=glob)
     files = raw.select(F.col("_metadata.file_name").alias("archive_file"), F.col("value").alias("raw"))
     return archives.source_tweets(archives.parse_archives(files))
 
