@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -83,3 +84,27 @@ def test_pages_built_from_known_blocks():
         assert html.main_text(page) == "\n".join(main), page
         seen += html.decisions(page)
     assert min(seen[k] for k in ("mark", "links", "words", "neighbours")) > 50
+
+
+@pytest.mark.parametrize("piece", ["<a", "<div></p>", "<video>", "<!--", '<a "', "&", '<a x="> "', "</video ", "<head>", '<p class="a', "&#1", "</", "<p>", "<li>", "aaaa=", "<svg>", "\n", "<a '\"'>", "<p\n"])
+def test_hostile_pages_end(piece):
+    page = piece * (1_000_000 // len(piece))
+    began = time.perf_counter()
+    for text in (page, f"<p {page}>", f"<article><p>{page}</p><p>after</p></article>"):
+        html.main_text(text)
+    assert time.perf_counter() - began < 60
+
+
+def test_numbers_of_any_length():
+    assert html.main_text("<article><p>a&#" + "0" * 6000 + "65;b&#" + "1" * 6000 + ";c&#x" + "f" * 6000 + ";d</p></article>") == "aAb�c�d"
+
+
+def test_dense_prose_outweighs_a_soft_class():
+    prose = "This is what the people of the town said to us when we were there with them, and it was not what they had said before. " * 3
+    page = '<article><p>{0}</p><p class="{1}">{2}</p><p>{0}</p></article>'
+    kept = html.main_text(page.format(prose, "promo-code", prose + "Own words."))
+    assert "Own words." in kept
+    for mark, text in (("promo-code", "Buy now. Own words."), ("comment", prose + "Own words."), ("promo ad", prose + "Own words."), ("promo", f'<a href="x">{prose}</a> <a href="y">Own words.</a>')):
+        assert "Own words." not in html.main_text(page.format(prose, mark, text))
+    assert "Own words." not in html.main_text(f'<article><p>{prose}</p></article><p class="promo">{prose} Own words.</p>')
+    assert "Own words." not in html.main_text(f'<article><p>{prose}</p><div class="related"><p>{prose} Own words.</p></div></article>')

@@ -1,6 +1,6 @@
 import re
 
-from tests.llm.test_licenses import low
+from tests.llm.test_licenses import RULES, low
 from threadloom.llm import licenses
 
 REAL = {
@@ -14,7 +14,7 @@ REAL = {
 
 def ungated(t):
     t = low(t)
-    found = [(r["priority"], r["label"], m.start(), m.end()) for r in licenses.rules() for m in re.finditer(r["regex"], t, re.A)]
+    found = [(r["priority"], r["label"], m.start(), m.end()) for r in RULES for m in r["regex"].finditer(t)]
     return ",".join(sorted({d[1] for d in found if not any(h[0] < d[0] and h[2] <= d[2] and h[3] >= d[3] for h in found)}))
 
 

@@ -1,5 +1,8 @@
 import re
+import time
 
+import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
@@ -8,6 +11,9 @@ from threadloom.llm import licenses
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+RULES = [r | {"regex": regex.compile(r["regex"], regex.A)} for r in licenses.rules()]  # more than any cache of patterns holds
+
+
 def low(t):
     return "".join(c.lower() if c.isascii() else c for c in t or "")
 
@@ -22,9 +28,9 @@ def slow(t):
         places += at
         base |= {label} if at else set()
     found, flat = [], re.sub(r"[ \t\n\x0b\f\r]+", " ", t)
-    for r in licenses.rules():
+    for r in RULES:
         if r["keyword"] in flat:
-            found += [(r["priority"], r["label"], r["confidence"], m.start(), m.end()) for m in re.finditer(r["regex"], t, re.A)]
+            found += [(r["priority"], r["label"], r["confidence"], m.start(), m.end()) for m in r["regex"].finditer(t)]
     kept = [d for d in found if not any(h[0] < d[0] and h[3] <= d[3] and h[4] >= d[4] for h in found)]
     score = max([0.5 if places else 0.0, *(d[2] for d in kept)])
     return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | {d[1] for d in kept})), score
@@ -49,7 +55,7 @@ def test_rules_are_many_ordered_and_gated():
     assert len(rules) > 400 and [r["priority"] for r in rules] == sorted(r["priority"] for r in rules)
     for r in rules:
         assert any(a in r["keyword"] for a in licenses.ANCHORS), r["keyword"]
-        re.compile(r["regex"])
+        regex.compile(r["regex"])
 
 
 def test_specific_beats_general(spark):
@@ -73,3 +79,24 @@ def test_thousands_of_places_and_long_runs(spark):
     assert got[1] == slow(texts[1])
     runs = [x * n for x, n in ((" ", 10**6), ("\n", 10**6), ("a", 10**6), ("7", 10**6), ("b.", 300_000), ("<", 10**6), ('"', 10**6), ("a-", 300_000), ("licensed ", 30_000), ("copyright", 30_000), ("copyright ", 30_000), ("under the ", 30_000))]
     assert licenses.digest(licenses.scan(spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string"))).count() == len(runs)
+
+
+@pytest.mark.parametrize("blank", ["\n", " ", "\n# "])
+def test_blanks_around_a_keyword(spark, blank):
+    """As without them, and in a few seconds: before, inside and behind a hit."""
+    run = blank * (300_000 // len(blank))
+    few = blank * 3
+    forms = ["{0}mit license", "mit license{0}", "released under{0}the mit license", "mit{0}license", "license:{0}mit", "x{0}license: mit", "spdx-license-identifier:{0}mit", "{0}all rights reserved{0}copyright{0}licensed under{0}"]
+    began = time.perf_counter()
+    long, short = ([tuple(r)[1:] for r in licenses.digest(licenses.scan(spark.createDataFrame(list(enumerate(f.format(x) for f in forms)), "doc_id long, text string"))).orderBy("doc_id").collect()] for x in (run, few))
+    assert time.perf_counter() - began < 90
+    assert long == short == [slow(f.format(few)) for f in forms]
+
+
+def test_operands_of_an_expression(spark):
+    cases = {
+        "SPDX-License-Identifier: (MIT OR Apache-2.0)": "apache-2.0,mit", "SPDX-License-Identifier: MIT AND (ISC OR BSD-3-Clause)": "bsd-3-clause,isc,mit",
+        "// SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 OR MPL-2.0": "gpl-2.0,mpl-2.0", "SPDX-License-Identifier: MIT\nand isc": "mit", "this or mit": "",
+    }
+    got = licenses.digest(licenses.scan(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string"))).orderBy("doc_id").collect()
+    assert [r["labels"] for r in got] == list(cases.values()) == [slow(t)[5] for t in cases]

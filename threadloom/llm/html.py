@@ -2,7 +2,9 @@
 
 A page is cut into blocks at block-level tags. The first pass decides what it
 can about each block by itself: bad by its mark (menus, headers, footers,
-sidebars, notices, adverts, forms, comments by element, role, class or id) or
+sidebars, notices, adverts, forms, comments by element, role, class or id, where
+an article's paragraph of long dense prose outweighs a class that may mean another
+thing) or
 its place outside the article, bad by its links (most of its text in several
 links, or one of neighbouring blocks that are a link each), good by length and
 stop-word density, and, outside articles, bad if it is long without stop words.
@@ -19,7 +21,7 @@ One pass over Arrow batches, a page at a time; nothing is shuffled.
 
 Defined results: null and empty pages give an empty text; text outside any
 element counts as a block; unclosed elements end with the page, an unclosed
-comment or script hides the rest; a null ``page_id`` or ``url`` stays null;
+comment or script hides the rest; a tag that the page's end cuts off is text; a null ``page_id`` or ``url`` stays null;
 repeated rows are extracted each; pages of any length are taken whole; other
 columns are ignored, whatever their names; an empty table gives no rows.
 """
@@ -70,13 +72,14 @@ MARKS = frozenset(
     "signup social sponsor sponsored subscribe subscription teaser toolbar widget".split()
 )
 HEADER_MARKS = frozenset("header topbar".split())
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>",
-    re.S,
-)
-_ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: Of these, the ones that prose may have for other reasons: on a paragraph of an article, long dense prose outweighs them.
+SOFT_MARKS = frozenset("banner modal notice notification popup promo promoted promotion recommended related share sharing signup social subscribe subscription teaser widget".split())
+#: Every repeat is possessive, and is tried where something begins, never inside it.
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_ATTRS = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+_ATTR = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))")
+_ZEROS = re.compile(r"&#0{9,}+")
+_HUGE = re.compile(r"&#(?:[0-9]{9,}+|[xX]0*+[0-9a-fA-F]{9,}+);?")
 _SPLIT = re.compile(r"[^a-zA-Z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -99,25 +102,96 @@ class Block(NamedTuple):
     heading: bool
     links: int = 0
     article: int = 0  # number of its article element, 0 for none
+    soft: bool = False  # excluded by a soft mark of its own alone
 
 
-def _marked(name: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element's tag and attributes say that it is no main text."""
+def _marked(name: str, attrs: str, in_article: bool) -> str:
+    """Whether an element's tag and attributes say that it is no main text: hard, soft or not at all."""
     if name in OUTSIDE or (name == "header" and not in_article):
-        return True
+        return "hard"
     if "=" not in attrs and "hidden" not in attrs:
-        return False
+        return ""
     found = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
     if re.search(r"(?:^|\s)hidden(?:\s|/|=|$)", attrs) and "hidden" not in (found.get("class", "") + found.get("id", "")) or found.get("aria-hidden") == "true":
-        return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
-        return True
+        return "hard"
+    if re.search(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", found.get("style", "")):
+        return "hard"
     if found.get("role", "").lower() in ROLES:
-        return True
+        return "hard"
     if name in ("html", "body", "main", "article") and "comment" not in attrs.lower():
-        return False  # a page's own classes name its parts: "has-sidebar"
+        return ""  # a page's own classes name its parts: "has-sidebar"
     words = {w.lower() for w in _SPLIT.split(_CAMEL.sub(" ", f"{found.get('class', '')} {found.get('id', '')}")) if w}
-    return bool(words & MARKS) or (not in_article and bool(words & HEADER_MARKS))
+    if not words & MARKS and (in_article or not words & HEADER_MARKS):
+        return ""
+    return "soft" if in_article and name in ("p", "blockquote") and words & MARKS <= SOFT_MARKS else "hard"
+
+
+def _decoded(text: str) -> str:
+    """Character references decoded; numbers of any length are read."""
+    if "&#" in text:
+        text = _HUGE.sub("\N{REPLACEMENT CHARACTER}", _ZEROS.sub("&#0", text))
+    return html.unescape(text)
+
+
+class _Scanner:
+    """Tags of a page from left to right; no place is read more than a few times.
+
+    A page that ends inside the quotes of a tag is read with quotes up to there
+    once; from that tag on quotes hide no ``>`` any more.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.at, self.last = page, 0, page.rfind(">")
+        self.loose = False
+        self.nowhere: set[str] = set()
+
+    def next(self) -> tuple[str, str, bool, str] | None:
+        """Text before the next tag, its name, whether it closes, its attributes; no name for the text before a comment or the end."""
+        page, begin = self.page, self.at
+        n = len(page)
+        if begin >= n:
+            return None
+        lt = page.find("<", begin)
+        while True:
+            if lt < 0 or lt + 1 >= n:
+                self.at = n
+                return page[begin:], "", False, ""
+            follow = page[lt + 1]
+            if follow in "!?":
+                self.at = self._past(lt)
+                return page[begin:lt], "", False, ""
+            if (follow == "/" or follow.isalpha()) and lt < self.last and (m := _NAME.match(page, lt)):
+                end = self._end(m.end())
+                self.at = end + 1
+                return page[begin:lt], m[2].lower(), bool(m[1]), page[m.end() : end]
+            lt = page.find("<", lt + 1)
+
+    def _past(self, lt: int) -> int:
+        page, n = self.page, len(self.page)
+        for mark, shut in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<", ">")):
+            if page.startswith(mark, lt):
+                end = page.find(shut, lt + max(2, len(mark)))
+                return n if end < 0 else end + len(shut)
+        return n
+
+    def _end(self, at: int) -> int:
+        """Where the tag whose attributes begin here ends."""
+        if not self.loose:
+            end = _ATTRS.match(self.page, at).end()
+            if end < len(self.page) and self.page[end] == ">":
+                return end
+            self.loose = True
+        return self.page.find(">", at)
+
+    def find(self, pattern: str) -> re.Match | None:
+        """Where a pattern comes next, before the page's last ``>``; looked for in vain once."""
+        if pattern in self.nowhere:
+            return None
+        m = re.compile(pattern, re.I).search(self.page, self.at)
+        if m is None or m.end() > self.last:
+            self.nowhere.add(pattern)
+            return None
+        return m
 
 
 def blocks_of(page: str) -> tuple[list[Block], bool]:
@@ -126,51 +200,42 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
     parts: list[str] = []
     linked = links_open = links = articles = 0
     heading = False
-    stack: list[tuple[str, bool, int]] = []  # name, excluded, article
-    excluded, article = False, 0
-    at, n = 0, len(page)
+    stack: list[tuple[str, str, int]] = []  # name, exclusion, article
+    opened: Counter = Counter()  # names in the stack
+    excluded, article = "", 0
+    scan = _Scanner(page)
 
     def end() -> None:
         nonlocal linked, links, heading
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join(_decoded("".join(parts)).split())
             if text:
-                blocks.append(Block(text, excluded, article > 0, min(1.0, linked / max(len(text), 1)), heading, max(links, linked > 0), article))
+                blocks.append(Block(text, excluded != "", article > 0, min(1.0, linked / max(len(text), 1)), heading, max(links, linked > 0), article, excluded == "soft"))
             parts.clear()
         linked, links, heading = 0, 0, False
 
-    def say(text: str) -> None:
-        nonlocal linked
-        parts.append(text)
-        if links_open:
-            linked += len(text.strip())
-
-    while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            say(page[at:])
-            break
-        if m.start() > at:
-            say(page[at : m.start()])
-        at = m.end()
-        name = m[2] or m[5]
-        if name is None:
+    while (found := scan.next()) is not None:
+        text, name, closing, attrs = found
+        if text:
+            parts.append(text)
+            if links_open:
+                linked += len(text.strip())
+        if not name:
             continue
-        name, closing, attrs = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if name == "br":
             parts.append(" ")
         elif name in HIDDEN or name == "title":
             if name != "head":
                 end() if name not in ("svg", "math") else None
             if not closing and not attrs.endswith("/"):
-                shut = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                shut = scan.find(rf"</{re.escape(name)}(?=[\s/>])")
                 if shut:
-                    at = shut.end()
+                    scan.at = page.find(">", shut.end()) + 1
                 elif name == "head":  # an unclosed head ends where the body begins
-                    body = re.compile(r"<body[\s>]", re.I).search(page, at)
-                    at = body.start() if body else at
-                elif name not in VOID:
-                    at = n if name in RAW else at
+                    body = scan.find(r"<body(?=[\s>])")
+                    scan.at = body.start() if body else scan.at
+                elif name in RAW and name not in VOID:
+                    scan.at = len(page)
         elif name == "a":
             links_open = max(0, links_open - 1) if closing else 1
             links += not closing
@@ -179,21 +244,26 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
             if name in VOID:
                 continue
             if closing:
-                if any(x[0] == name for x in stack):
-                    while stack.pop()[0] != name:
-                        pass
+                if opened[name]:
+                    while True:
+                        gone = stack.pop()[0]
+                        opened[gone] -= 1
+                        if gone == name:
+                            break
             else:
                 if name in ("p", "li", "dt", "dd", "option") and stack and stack[-1][0] == name:
-                    stack.pop()
-                outer = stack[-1] if stack else ("", False, 0)
-                begins = name in ("article", "main") or bool(re.search(r"\brole\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody", attrs))
-                out = outer[1] or _marked(name, attrs, outer[2] > 0)
+                    opened[stack.pop()[0]] -= 1
+                outer = stack[-1] if stack else ("", "", 0)
+                begins = name in ("article", "main") or bool(re.search(r"\brole\s*+=\s*+[\"']?main\b|itemprop\s*+=\s*+[\"']?articleBody", attrs))
+                out = "hard" if outer[1] else _marked(name, attrs, outer[2] > 0)
                 if begins and not out and not outer[2]:
                     articles += 1
                 stack.append((name, out, outer[2] or (articles if begins and not out else 0)))
+                opened[name] += 1
                 if name == "p" and len(stack) > 1 and stack[-2][0] == "p":
                     del stack[-2]
-            excluded, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                    opened["p"] -= 1
+            excluded, article = (stack[-1][1], stack[-1][2]) if stack else ("", 0)
             heading = not closing and len(name) == 2 and name[0] == "h"
     end()
     return blocks, articles > 0
@@ -212,14 +282,14 @@ def _words(b: Block, rules: Rules) -> str:
 
 def _first_pass(blocks: list[Block], has_article: bool, rules: Rules) -> list[tuple[str, str]]:
     """Label and what decided it: good or bad, or short or near if nothing did."""
-    words = ["" if b.excluded else _words(b, rules) for b in blocks]
-    prose = {b.article for b, w in zip(blocks, words, strict=True) if w == "good"} - {0}
+    words = ["" if b.excluded and not b.soft else _words(b, rules) for b in blocks]
+    prose = {b.article for b, w in zip(blocks, words, strict=True) if w == "good" and not b.excluded} - {0}
     held = prose or ({1} if has_article and all(b.article <= 1 for b in blocks) else set())
     linked = [not b.excluded and b.link_density >= (rules.article_link_density if b.article in held else rules.link_density) for b in blocks]
     out = []
     for i, (b, w) in enumerate(zip(blocks, words, strict=True)):
         inside = b.article in held
-        if b.excluded:
+        if b.excluded and not (b.soft and inside and w == "good" and b.link_density < rules.link_density):
             out.append(("bad", "mark"))
         elif held and not inside:
             out.append(("bad", "place"))

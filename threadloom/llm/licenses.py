@@ -4,8 +4,9 @@ A row of ``NAMES`` is a hand-written signature of one licence: the label, a
 literal keyword that every match contains, and a regular expression over
 lower-case text in which a space stands for any run of white space. ``IDS`` are
 short names that count only where a text states a licence. ``FORMS`` puts these
-some 240 signatures into the ways a text states them (an SPDX tag, a notice, a
-header, a bare mention); the rules so made are ordered by priority.
+some 240 signatures into the ways a text states them (an SPDX tag, a further
+operand of its expression, a notice, a header, a bare mention); the rules so made
+are ordered by priority.
 
 A text is first tried for a dozen anchors, one of which is part of every
 keyword; only texts that have one are tried for keywords, and only rules whose
@@ -282,12 +283,14 @@ beerware | beerware | beerware
 """.strip().splitlines()
 ]
 
-#: name, what stands before and after a signature, priority, confidence
+#: name, what stands before and after a signature, priority, confidence. No repeat of
+#: white space begins inside a run of it or gives any back, so runs of any length are read once.
 FORMS = [
-    ("tag", r"spdx-licen[sc]e-identifier ?: ?", "", 1, 1.0),
-    ("notice", r"(?:licen[sc]ed|released|distributed|available|published|provided|covered|redistribut\w+)(?: \w+){0,3} (?:under|by|with) (?:the )?(?:terms of )?(?:the |an? )?", "", 2, 0.95),
-    ("header", r"(?:^|\n) ?(?:# ?|// ?|\* ?)?licen[sc]e ?[:=] ?(?:the )?", "", 3, 0.9),
-    ("mention", "", "", 4, 0.7),
+    ("tag", r"spdx-licen[sc]e-identifier ?: ?\({0,3} ?", "", 1, 1.0),
+    ("operand", r"(?<![a-z0-9])(?:or|and|with) \({0,3} ?", r"(?<=spdx-licen[sc]e-identifier\s{0,9}:[^\n]{0,400})", 2, 1.0),
+    ("notice", r"(?:licen[sc]ed|released|distributed|available|published|provided|covered|redistribut\w+)(?: \w+){0,3} (?:under|by|with) (?:the )?(?:terms of )?(?:the |an? )?", "", 3, 0.95),
+    ("header", r"(?:^|\n)[^\S\n]*+(?:# ?|// ?|\* ?)?licen[sc]e ?[:=] ?(?:the )?", "", 4, 0.9),
+    ("mention", "", "", 5, 0.7),
 ]
 #: One of these is part of every keyword.
 _PARTS = ["licen", "lizenz", "copyright", "domain", "reserved", "commons", "cc by", "cc-by", "cc0", "gpl", "permission", "redistribut", "proprietary", "warrant", "openrail", "cecill", "w3c", "not be", "unauthori"]
@@ -301,11 +304,11 @@ def rules() -> list[dict]:
     out = []
     for form, before, after, priority, confidence in FORMS:
         # ids are no mentions, and a tag is followed by an id, not by a sentence
-        here = (NAMES if form != "tag" else [x for x in NAMES if len(x[2].split(" ")) == 1 or x[1].startswith("cc")]) + (IDS if form != "mention" else [])
+        here = (NAMES if form not in ("tag", "operand") else [x for x in NAMES if len(x[2].split(" ")) == 1 or x[1].startswith("cc")]) + (IDS if form != "mention" else [])
         for rank, (label, keyword, signature) in enumerate(sorted(here, key=lambda x: -len(x[2]))):
             start = before.replace("(?:under|by|with)", "under") if (label, keyword, signature) in IDS else before
             body = rf"{start}(?<![a-z0-9])(?:{signature})(?![a-z0-9]){after}"
-            out.append({"label": label, "keyword": keyword, "regex": re.sub(r" (\?)?", lambda m: r"\s*" if m[1] else r"\s+", body), "priority": priority * 1000 + rank, "confidence": confidence})
+            out.append({"label": label, "keyword": keyword, "regex": re.sub(r" (\?)?", lambda m: r"\s*+" if m[1] else r"\s++", body), "priority": priority * 1000 + rank, "confidence": confidence})
     return out
 
 
