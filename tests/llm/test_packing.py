@@ -93,3 +93,20 @@ def test_best_fit_picks_the_tightest_window():
 
 def test_empty(nothing):
     assert packing.pack(nothing).count() == 0
+
+
+def test_equal_and_null_rows_fill_no_group(spark):
+    docs = spark.sql("SELECT CASE WHEN id < 4000 THEN NULL ELSE 5L END AS doc_id, CASE WHEN id < 4000 THEN NULL ELSE 'the same text' END AS text FROM range(8000)")
+    rows = packing.pack(docs, group_rows=50).collect()
+    groups = {}
+    for r in rows:
+        groups[r["sequence_id"] >> 32] = groups.get(r["sequence_id"] >> 32, 0) + 1
+    assert len(rows) == 8000 and len(groups) >= 150 and max(groups.values()) <= 100
+
+
+def test_full_windows_go_through_no_group(spark):
+    docs = spark.createDataFrame([(1, "word " * 9000), (1, "word " * 9000), (2, "a")], "doc_id long, text string")
+    rows = packing.pack(docs, window=64, group_rows=4).collect()
+    check(rows, 64)
+    full = [r["sequence_id"] for r in rows if r["length"] == 64]
+    assert len(set(full)) == len(full) > 200 and min(full) >= 1 << 62 and max(r["sequence_id"] for r in rows if r["length"] < 64) < 1 << 62

@@ -1,9 +1,9 @@
 """Packing token sequences by best-fit decreasing (operator 8).
 
 Documents become tokens where they lie; texts go no further. A document longer
-than the window is first cut into full windows, each a sequence of its own.
-What is left over is dealt by hash into groups of about ``group_rows`` pieces,
-and in each group pieces go, longest first, into the open window that they
+than the window is first cut into full windows, each a sequence of its own that
+goes through no group. What is left over is dealt by the number of its row into
+groups of about ``group_rows`` pieces, whatever rows repeat, and in each group pieces go, longest first, into the open window that they
 leave least room in, found by a segment tree over remaining capacities. Groups
 are bounded, so a task's memory is; a group leaves at most a few windows badly
 filled, which is nothing beside its thousands.
@@ -16,8 +16,10 @@ space, on which the faster one may overflow its stack, by ``tokenizers`` itself.
 Strings of special tokens in a text are ordinary text.
 
 Defined results: a null text is empty and has the end token only; a null
-``doc_id`` is packed like any other; repeated rows are packed each; other
-columns are ignored; an empty table gives no pieces.
+``doc_id`` is packed like any other; repeated rows are packed each; texts of any
+length are encoded whole, each by one task; of pieces of one length the smaller
+``doc_id``, start and checksum is packed first; other columns are ignored, whatever
+their names; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -169,10 +171,14 @@ def best_fit_decreasing(lengths: list[int], window: int) -> tuple[list[int], lis
 
 def pack(docs: DataFrame, window: int = WINDOW, group_rows: int = GROUP_ROWS, **options) -> DataFrame:
     """Pieces of every document with ``sequence_id`` and ``offset``."""
-    every = written(pieces(docs, window, **options), "pieces")
-    n = max(1, -(-every.count() // group_rows))
-    dealt = every.withColumn("g", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(n)).cast("long"))
-    schema = T.StructType([*every.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    row = "__row"
+    every = written(pieces(docs, window, **options).withColumn(row, F.monotonically_increasing_id()), "pieces")
+    names = [c for c in every.columns if c != row]
+    full = every.where(F.col("length") == window).select(*names, (F.col(row) + F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rest = every.where(F.col("length") < window)
+    n = max(1, -(-rest.count() // group_rows))
+    dealt = rest.withColumn("g", F.pmod(F.xxhash64(row), F.lit(n)).cast("long")).drop(row)
+    schema = T.StructType([*rest.drop(row).schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
@@ -180,7 +186,7 @@ def pack(docs: DataFrame, window: int = WINDOW, group_rows: int = GROUP_ROWS, **
         first = int(pdf["g"].iloc[0]) << 32
         return pdf.drop(columns="g").assign(sequence_id=np.array(into, np.int64) + first, offset=np.array(offsets, np.int64))
 
-    return dealt.groupBy("g").applyInPandas(fill, schema)
+    return dealt.groupBy("g").applyInPandas(fill, schema).unionByName(full)
 
 
 def op8_query(spark, sf_dir: str) -> DataFrame:
