@@ -182,7 +182,7 @@ def _gram_hashes_rows(rows: np.ndarray) -> np.ndarray:
 _FOUND = [
     T.StructField("n_words", T.LongType()),
     T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-    T.StructField("items", T.ArrayType(T.LongType())),
+    T.StructField("items", T.ArrayType(T.StringType())),
 ]
 
 
@@ -192,10 +192,17 @@ def contamination(
     """``doc_id, n_words, spans, items`` for every row of ``docs``.
 
     ``spans`` are the hit words as disjoint ranges [start, end), ``items`` the
-    ids of the items of which a window occurs. With ``marks`` the text's mark
-    goes along.
+    ids of the items of which a window occurs, in their own type and order. With
+    ``marks`` the text's mark goes along.
     """
-    pairs = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    own = T.ArrayType(benchmark.schema["item_id"].dataType)
+    found = _contamination(docs, benchmark, window, k, text_col, block_bytes, marks)
+    return found.withColumn("items", F.array_sort(F.col("items").cast(own)))
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, window: int, k: int, text_col: str, block_bytes: int, marks: bool) -> DataFrame:
+    """``contamination`` with ids as strings."""
+    pairs = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
     text = F.col(f"`{text_col}`").cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     size = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -254,7 +261,7 @@ def _joined(texts: DataFrame, pairs: DataFrame, window: int, k: int) -> DataFram
         return work
 
     c = F.col
-    held = written(map_rows(pairs.select("text", "item_id"), item_rows, T.StructType.fromDDL("item long, width int, print long, words binary")), "winnow-items")
+    held = written(map_rows(pairs.select("text", "item_id"), item_rows, T.StructType.fromDDL("item string, width int, print long, words binary")), "winnow-items")
     widths = sorted(r[0] for r in held.select("width").distinct().collect())  # at most ``window`` of them
     prints = written(held.where("print is not null").select("print").distinct(), "winnow-prints")
     windows = written(held.where("words is not null").groupBy("words").agg(F.array_sort(F.collect_set("item")).alias("items")), "winnow-windows")
@@ -303,7 +310,7 @@ def _joined(texts: DataFrame, pairs: DataFrame, window: int, k: int) -> DataFram
     found = written(spans.join(items, "mark", "left"), "winnow-found")
     none = "cast(array() as array<struct<start:bigint,end:bigint>>)"
     return own.join(found, "mark", "left").select(
-        "doc_id", "mark", "n_words", F.coalesce("spans", F.expr(none)).alias("spans"), F.coalesce("items", F.expr("cast(array() as array<bigint>)")).alias("items")
+        "doc_id", "mark", "n_words", F.coalesce("spans", F.expr(none)).alias("spans"), F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items")
     )
 
 
