@@ -235,10 +235,10 @@ def _settle(ranges: DataFrame, place: tuple[str, ...], tag: str) -> tuple[DataFr
 
 
 def keyed(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``text, k1, k2, doc_id``: rows of one id and text share a key."""
+    """``text, k1, k2, doc_id``: rows of one id and text share a key, of 128 bits where there is no id."""
     text = F.col(f"`{text_col}`").cast("string")
     doc = F.col("doc_id").cast("long")
-    return docs.select(text.alias("text"), F.coalesce(doc, F.lit(-1)).alias("k1"), F.xxhash64(text, doc.isNull()).alias("k2"), doc.alias("doc_id"))
+    return docs.select(text.alias("text"), F.coalesce(doc, F.xxhash64(F.lit(1), text)).alias("k1"), F.xxhash64(text, doc.isNull()).alias("k2"), doc.alias("doc_id"))
 
 
 def repeated_spans(docs: DataFrame, cover: Cover = Cover()) -> DataFrame:
