@@ -85,18 +85,8 @@ def test_large_tiles_are_compared_in_parts():
     assert got == want
 
 
-def test_one_of_each_group_stays(edge, edge_rows):
-    kept = simhash.keep_one(edge)
-    assert kept.columns == edge.columns
-    ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
-    comp = {d: c for d, _, c in slow_components([(d, slow_hash(t)) for d, t in edge_rows]) if d is not None}
-    assert ids == sorted(d for d, c in comp.items() if d == c)
-    assert kept.where("doc_id is null").count() == 2
-
-
 def test_empty(nothing):
     assert simhash.near_duplicates(nothing).count() == 0
-    assert simhash.keep_one(nothing).columns == nothing.columns
 
 
 def test_hot_copies_and_order(spark):

@@ -227,23 +227,6 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, text_col
     return marks.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component: the row with its smallest ``doc_id``.
-
-    A ``doc_id`` names one document: of rows that repeat a kept id one stays.
-    Rows without a ``doc_id`` cannot stand for a component; they all stay.
-    """
-    ids = written(near_duplicates(docs, **options), "simhash-ids")
-    kept = without(docs, ids.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
-    twice = ids.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    if twice.isEmpty():
-        return kept
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    repeated = kept.join(twice, "doc_id", "left_semi").select("doc_id", F.struct(*names).alias("r"))
-    one = repeated.groupBy("doc_id").agg(F.max_by("r", F.to_json("r")).alias("r")).select("r.*")  # maps have no order of their own
-    return without(kept, twice).unionByName(one)
-
-
 def op7_query(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
