@@ -7,11 +7,15 @@ enough support, confidence and lift stay, and those that a shorter rule of no
 less confidence implies are pruned. Rules are filed under their rarest token,
 and a url tries only the rules of its own tokens.
 
-Mining is bounded whatever the urls: only tokens that go with bad urls more
-often than chance, and in enough of them, take part; tokens that always stand
-together count as one; one whose own rule has no exception cannot be bettered
-by a longer one and is left out of them; and of a url's tokens the
-``URL_TOKENS`` that go with bad urls most are combined.
+Only tokens that go with bad urls more often than chance, and in enough of them,
+take part; tokens that always stand together count as one; one whose own rule has
+no exception cannot be bettered by a longer one and is left out of them. Where no
+url has more than ``URL_TOKENS`` such tokens, FP-growth combines them. Beyond that
+its sets would be too many, and the same growth of patterns over conditional
+tables goes token by token, as joins: a set is extended only in the urls that hold
+it, and no further if it is too rare, has no exception, or stands where a smaller
+set does. What that leaves out a smaller rule implies, so both ways give the same
+rules.
 
 A page's label is that of the document whose number its path ends in; a
 document is bad if its quality is 0 or it is toxic. The rules are fitted on at
@@ -50,8 +54,8 @@ FIXED = [
 ]
 LABELLED = 200_000
 RULES = 5_000
-#: Tokens of a labelled url that are combined: at most 2 ** URL_TOKENS sets of it.
-URL_TOKENS = 10
+#: Tokens of a labelled url up to which FP-growth lists all sets: 2 ** URL_TOKENS of it at most.
+URL_TOKENS = 12
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
@@ -100,14 +104,17 @@ def mine(rows: DataFrame, min_support: float = 0.002, min_confidence: float = 0.
     counts = said.groupBy("key").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"), *stands).where((F.col("bad") >= least) & (F.col("bad") > base * F.col("n")))
     strong = written(counts.groupBy("n", "bad", "x", "y").agg(F.min("key").alias("key")).select("key", "n", "bad"), "url-tokens")
     singles = strong.where(good_enough).select(F.array("key").alias("rule"), (F.col("bad") / F.col("n")).alias("confidence"))
-    own = said.where("bad = 1").select("row", "key").join(strong.where("bad < n"), "key")
-    listed = F.array_sort(F.collect_list(F.struct((-F.col("bad") / F.col("n")).alias("c"), (-F.col("n")).alias("n"), "key")))  # of one url
-    baskets = written(own.groupBy("row").agg(F.slice(listed, 1, url_tokens).key.alias("items")).where("size(items) > 1").select("items"), "url-baskets")
+    own = written(said.join(strong.where("bad < n").select("key"), "key").select("row", "bad", "key"), "url-own")
+    bad_urls = own.where("bad = 1").groupBy("row").agg(F.array_sort(F.collect_list("key")).alias("items")).where("size(items) > 1")  # of one url
+    baskets = written(bad_urls.select("items"), "url-baskets")
     found = singles
-    n_baskets = baskets.count()
+    n_baskets, longest = baskets.agg(F.count("*"), F.max(F.size("items"))).first()
     if n_baskets >= least:
-        sets = FPGrowth(itemsCol="items", minSupport=least / n_baskets, minConfidence=1.0).fit(baskets).freqItemsets
-        sets = written(sets.where("size(items) > 1").select(F.array_sort("items").alias("rule")), "url-sets")
+        if longest <= url_tokens:
+            every = FPGrowth(itemsCol="items", minSupport=least / n_baskets, minConfidence=1.0).fit(baskets).freqItemsets
+            sets = written(every.where("size(items) > 1").select(F.array_sort("items").alias("rule")), "url-sets")
+        else:
+            sets = _grown(own, strong, least)
         tried = _filed(sets, strong)
         fits = F.size(F.array_except("rule", "tokens")) == 0
         met = rows.select("tokens", "bad", F.explode("tokens").alias("key")).join(tried, "key").where(fits).groupBy("rule").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
@@ -118,6 +125,34 @@ def mine(rows: DataFrame, min_support: float = 0.002, min_confidence: float = 0.
     return written(filed.join(implied, "rule", "left_anti").select("key", "rule", "confidence"), "url-mined")
 
 
+def _grown(own: DataFrame, strong: DataFrame, least: int) -> DataFrame:
+    """``rule``: sets of two tokens and more in ``least`` bad urls, but for those that a smaller set stands for.
+
+    ``own`` has ``row, bad, key``. Each round extends the open sets of the last
+    by a later token of their rows; a new set must stand in fewer rows than each
+    set with a token less, and all of these must be open.
+    """
+    c = F.col
+    open_ = strong.where("bad < n").select(F.array("key").alias("rule"), "n")
+    held = own.select("row", "bad", F.array("key").alias("rule"), c("key").alias("last"))
+    rounds: list[DataFrame] = []
+    while True:
+        longer = held.join(own.select("row", "key"), "row").where("key > last").select("row", "bad", F.array_append("rule", c("key")).alias("rule"), c("key").alias("last"))
+        counted = longer.groupBy("rule").agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).where(c("bad") >= least)
+        less = counted.select("rule", c("n").alias("m"), F.posexplode("rule")).select("rule", "m", F.filter("rule", lambda x: x != c("col")).alias("part"))
+        free = less.join(open_.select(c("rule").alias("part"), "n"), "part").where("n > m").groupBy("rule").count().where(c("count") == F.size("rule")).select("rule")
+        sets = written(counted.join(free, "rule"), "url-grown")
+        rounds.append(sets.select("rule"))
+        open_ = sets.where("bad < n").select("rule", "n")
+        if open_.isEmpty():
+            break
+        held = written(longer.join(open_.select("rule"), "rule"), "url-held")
+    out = rounds[0]
+    for more in rounds[1:]:
+        out = out.union(more)
+    return out
+
+
 def _filed(rules: DataFrame, counts: DataFrame) -> DataFrame:
     """``rules`` with their rarest token as ``key``."""
     rest = [c for c in rules.columns if c != "rule"]
