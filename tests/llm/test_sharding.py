@@ -54,3 +54,50 @@ def test_hot_ids_are_spread(spark):
             by.setdefault(r["shard"], []).append(r["slot"])
         assert len(out) == 9000 and all(sorted(x) == list(range(len(x))) for x in by.values())
         assert len(loads) == 6 and max(loads.values()) < 1.1 * min(loads.values())
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.select("doc_id", "size", "text_crc32", "virtual_slot", "part", "shard", "slot", "map_version").collect()]
+
+
+def test_assignment_by_brute_force(edge, edge_rows):
+    """Sizes and slots as they lie, then the heaviest to the lightest shard."""
+    got = rows_of(sharding.shard(edge, n_shards=5, n_slots=64))
+    sums = {}
+    for _, size, _, v, p, *_ in got:
+        sums[v, p] = sums.get((v, p), 0) + size
+    loads, want = [0] * 5, {}
+    for key in sorted(sums, key=lambda k: (-sums[k], k)):
+        want[key] = loads.index(min(loads))
+        loads[want[key]] += sums[key]
+    assert {(r[3], r[4]): r[5] for r in got} == want
+    for shard in range(5):
+        assert sorted(r[6] for r in got if r[5] == shard) == list(range(sum(r[5] == shard for r in got)))
+    assert sorted(r[1] for r in got) == sorted(len((t or "").encode()) + 8 for _, t in edge_rows)
+
+
+def test_a_stored_map_is_edited(spark, tmp_path):
+    docs = spark.range(6000).selectExpr("CASE WHEN id % 4 = 0 THEN -7L ELSE id END AS doc_id", "repeat('ab ', 1 + cast(id % 50 AS int)) AS text")
+    folder = f"{tmp_path}/map"
+    first = rows_of(sharding.shard(docs, 6, 256, folder, part_rows=200))
+    again = rows_of(sharding.shard(docs.repartition(7), 6, 256, folder, part_rows=200))
+    place = lambda rows: {r[:5]: r[5] for r in rows}
+    assert {r[7] for r in first} == {1} and {r[7] for r in again} == {2} and place(first) == place(again)  # another layout moves nothing
+    more = docs.union(spark.range(6000, 9000).selectExpr("id AS doc_id", "repeat('cd ', 30) AS text"))
+    grown = rows_of(sharding.shard(more, 7, 256, folder, part_rows=200))
+    loads = [sum(r[1] for r in grown if r[5] == s) for s in range(7)]
+    assert {r[7] for r in grown} == {3} and max(loads) <= 1.05 * min(loads)
+    before, after = {(r[3], r[4]): r[5] for r in first}, {(r[3], r[4]): r[5] for r in grown}
+    moved = [k for k in before if k in after and after[k] != before[k]]
+    assert len(moved) < len(before) / 2 and sum(after[k] == 6 for k in moved) > len(moved) / 3
+    for version, rows in ((1, first), (2, again), (3, grown)):
+        lines = {(r["virtual_slot"], r["part"]): r["shard"] for r in sharding.read_map(spark, folder, version).collect()}
+        assert all(lines[r[3], r[4]] == r[5] for r in rows)
+    assert len({r[4] for r in first if r[0] == -7}) > 1
+
+
+def test_equal_rows_without_end_are_dealt(spark):
+    docs = spark.sql("SELECT 1L AS doc_id, 'same' AS text FROM range(3000)")
+    got = rows_of(sharding.shard(docs, 4, 16, part_rows=100))
+    loads = [sum(r[5] == s for r in got) for s in range(4)]
+    assert len({r[3] for r in got}) == 1 and min(loads) > 500 and sorted(r[6] for r in got if r[5] == 0) == list(range(loads[0]))

@@ -9,7 +9,8 @@ its next version by moving few slots; nothing is hashed anew.
 
 A slot that is heavier than ``SPLIT`` of a shard's share (a ``doc_id`` that a
 third of the rows repeat) or has more than ``PART_ROWS`` rows is cut into parts,
-dealt by the row's own number; the map then has a line for each part.
+dealt by id, checksum and size; the map then has a line for each part, and parts
+move like slots. Equal texts are under no constraint: the law is about bytes.
 
 The only data that reach the driver are the sums of slots and parts, some
 ``n_slots`` and one for every ``PART_ROWS`` rows. Everything else is built-in
@@ -19,7 +20,7 @@ sums, so no task ever holds a whole shard or a hot slot.
 
 Defined results: a null text has no bytes (size 8, checksum 0); rows without
 ``doc_id`` are dealt by checksum and size; rows that repeat a ``doc_id`` share
-its slot, not always its part; texts of any length are one row; other columns
+its slot, not always its part; equal texts may be in several shards; texts of any length are one row; other columns
 are ignored, whatever their names; an empty table gives no rows.
 """
 
@@ -76,8 +77,8 @@ def assign(sums: dict, n_shards: int) -> dict:
     return out
 
 
-def rebalance(current: dict[int, int], sums: dict[int, int], n_shards: int, slack: float = 0.01) -> dict[int, int]:
-    """The next version of a map: few slots move, new slots go where it is light.
+def rebalance(current: dict, sums: dict, n_shards: int, slack: float = 0.01) -> dict:
+    """The next version of a map of slots, or their parts: few move, new ones go where it is light.
 
     Slots of shards that are no more go first, then slots leave shards over
     the mean by more than ``slack`` for the lightest, as long as that narrows
@@ -93,7 +94,7 @@ def rebalance(current: dict[int, int], sums: dict[int, int], n_shards: int, slac
         new[slot] = shard
         loads[shard] += sums.get(slot, 0)
     mean = sum(loads) / n_shards
-    held: list[list[int]] = [[] for _ in range(n_shards)]
+    held: list[list] = [[] for _ in range(n_shards)]
     for slot, shard in new.items():
         held[shard].append(slot)
     for _ in range(len(new)):
@@ -139,6 +140,15 @@ def map_table(spark, version: int, shards: dict[Place, int], rows: dict[Place, i
     return spark.range(len(lines)).select(F.lit(version).alias("map_version"), *[item(k, t).alias(c) for k, (c, t) in enumerate(names)])
 
 
+def stored_map(spark, folder: str) -> tuple[int, dict[Place, int]]:
+    """Version and shards of the newest stored map; version 0 where there is none yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return 0, {}
+    lines = read_map(spark, folder).collect()  # a row a slot or part
+    return max((r["map_version"] for r in lines), default=0), {(r["virtual_slot"], r["part"]): r["shard"] for r in lines}
+
+
 def store_map(table: DataFrame, folder: str) -> None:
     """Adds a version to the stored map."""
     table.write.mode("append").partitionBy("map_version").parquet(folder)
@@ -151,28 +161,49 @@ def read_map(spark, folder: str, version: int | None = None) -> DataFrame:
     return every.where(F.col("map_version") == chosen)
 
 
-def with_part(rows: DataFrame, parts: dict[int, int]) -> DataFrame:
-    """``rows`` with the part of the slot that each falls into, by its ``row`` number."""
+def with_part(rows: DataFrame, parts: dict[int, int], part_rows: int = PART_ROWS) -> DataFrame:
+    """``rows`` with the part of the slot that each falls into, by its content.
+
+    So a row finds its part whatever the files' layout. Only rows that more than
+    ``part_rows`` others equal are dealt by their number, as they are alike.
+    """
     if not parts:
         return rows.withColumn("part", F.lit(0))
     held = F.from_json(F.lit(json.dumps(parts)), "map<string,int>")
-    return rows.withColumn("part", F.pmod(F.xxhash64("row"), F.coalesce(F.try_element_at(held, F.col("virtual_slot").cast("string")), F.lit(1))).cast("int"))
+    alike = ["doc_id", "text_crc32", "size"]
+    many = rows.where(F.col("virtual_slot").isin(list(parts))).groupBy(*alike).count().where(F.col("count") > part_rows)
+    many = written(many.select(*[F.col(c).alias(f"{c}_") for c in alike], F.lit(True).alias("many")), "shard-alike")  # a row for part_rows rows at most
+    same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("text_crc32") == F.col("text_crc32_")) & (F.col("size") == F.col("size_"))
+    found = rows.join(F.broadcast(many) if many.count() <= BROADCAST_ROWS else many, same, "left").drop(*[f"{c}_" for c in alike])
+    key = F.xxhash64(*alike, F.when(F.col("many"), F.col("row")).otherwise(F.lit(0).cast("long")))
+    n = F.coalesce(F.try_element_at(held, F.col("virtual_slot").cast("string")), F.lit(1))
+    return found.withColumn("part", F.pmod(key, n).cast("int")).drop("many")
 
 
 def shard(docs: DataFrame, n_shards: int = SHARDS, n_slots: int = SLOTS, folder: str | None = None, part_rows: int = PART_ROWS) -> DataFrame:
-    """Every record with its shard, its place there and its virtual slot."""
+    """Every record with its shard, its place there and its virtual slot.
+
+    With the ``folder`` of a stored map its newest version is edited for these
+    records and this number of shards, and stored as the next; without one, or
+    in an empty one, the first version is made.
+    """
     spark = docs.sparkSession
+    folder = folder or f"{shared_dir(spark)}/threadloom/slot-map-{uuid.uuid4().hex}"
+    version, current = stored_map(spark, folder)
     rows = written(records(docs, n_slots).withColumn("row", F.monotonically_increasing_id()), "shard-records")
     whole = slot_sums(rows).collect()  # n_slots rows at most
     parts = parts_of({r["virtual_slot"]: (r["bytes"], r["rows"]) for r in whole}, n_shards, part_rows)
-    rows = with_part(rows, parts)
+    for slot, part in current:
+        if part:  # a slot that was cut stays cut
+            parts[slot] = max(parts.get(slot, 1), part + 1)
+    rows = with_part(rows, parts, part_rows)
     split = slot_sums(rows.where(F.col("virtual_slot").isin(list(parts))), "part").collect() if parts else []  # a row for part_rows rows
     sums = {(r["virtual_slot"], 0): (r["bytes"], r["rows"]) for r in whole if r["virtual_slot"] not in parts}
     sums |= {(s, p): (0, 0) for s, n in parts.items() for p in range(n)} | {(r["virtual_slot"], r["part"]): (r["bytes"], r["rows"]) for r in split}
-    table = map_table(spark, 1, assign({k: b for k, (b, _) in sums.items()}, n_shards), {k: n for k, (_, n) in sums.items()}, n_slots)
-    folder = folder or f"{shared_dir(spark)}/threadloom/slot-map-{uuid.uuid4().hex}"
-    store_map(table, folder)
-    lines = read_map(spark, folder).drop("parts")
+    sizes = {k: b for k, (b, _) in sums.items()}
+    places = rebalance(current, sizes, n_shards) if current else assign(sizes, n_shards)
+    store_map(map_table(spark, version + 1, places, {k: n for k, (_, n) in sums.items()}, n_slots), folder)
+    lines = read_map(spark, folder, version + 1).drop("parts")
     few = len(sums) <= BROADCAST_ROWS
     placed = rows.join(F.broadcast(lines) if few else lines, ["virtual_slot", "part"])
     in_part = F.expr("row_number() over (partition by virtual_slot, part order by doc_id, text_crc32, size, row)")
