@@ -92,7 +92,8 @@ def test_reports_and_replacement_with_backup(spark, tmp_path):
 
     tweets = carriers.source(spark, "/root/testdata/sf0.001")
     seen = profile.verification(tweets, consolidate.consolidated(tweets)) | profile.inspection(tweets)
-    assert all(df.count() >= 1 for k, df in seen.items() if k != "duplicate_rows")
+    assert all(df.count() >= 1 for k, df in seen.items() if k not in ("duplicate_rows", "hot_threads"))
+    assert all(r["agree"] for r in seen["likers"].collect()) and seen["thread_sizes"].first()["threads"] > 0
     path = str(tmp_path / "t")
     assert sinks.with_backup(spark.range(3), path) is None
     old = sinks.with_backup(spark.range(5), path)

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import scalar
+from threadloom.operators import consolidate, threads
+from threadloom.operators.durable import written
+from threadloom.operators.quantiles import quantiles
 
 
 def _blank(x: str) -> Column:
@@ -85,11 +88,14 @@ def liked_and_full(tweets: DataFrame) -> DataFrame:
 
 
 def like_distribution(consolidated: DataFrame) -> DataFrame:
+    """Figures of the likes; the medians are selected exactly, in bounded memory."""
     n = F.col("like_count")
     some = F.when(n > 0, n)
-    return consolidated.agg(
+    held = written(consolidated.select("like_count"), "like-counts")
+    (median_all,), (median_liked,) = quantiles(held, "like_count", [0.5]), quantiles(held.where(n > 0), "like_count", [0.5])
+    return held.agg(
         F.count("*").alias("total"), F.coalesce(F.sum(n), F.lit(0)).alias("likes"), F.count_if(n > 0).alias("liked"), F.min(n).alias("min_likes"), F.max(n).alias("max_likes"),
-        F.round(F.avg(n), 6).alias("avg_all"), F.round(F.avg(some), 6).alias("avg_liked"), F.median(n).alias("median_all"), F.median(some).alias("median_liked"),
+        F.round(F.avg(n), 6).alias("avg_all"), F.round(F.avg(some), 6).alias("avg_liked"), F.lit(median_all).cast("double").alias("median_all"), F.lit(median_liked).cast("double").alias("median_liked"),
     )
 
 
@@ -121,8 +127,10 @@ def reply_stats(tweets: DataFrame) -> DataFrame:
 
 def thread_size_stats(sizes: DataFrame) -> DataFrame:
     n = F.col("replies")
+    sizes = written(sizes.select("replies"), "thread-sizes")
+    (median,) = quantiles(sizes, "replies", [0.5])
     return sizes.agg(
-        F.count("*").alias("threads"), F.min(n).alias("least"), F.max(n).alias("most"), F.round(F.avg(n), 6).alias("mean"), F.median(n).alias("median_replies"),
+        F.count("*").alias("threads"), F.min(n).alias("least"), F.max(n).alias("most"), F.round(F.avg(n), 6).alias("mean"), F.lit(median).cast("double").alias("median_replies"),
         F.count_if(n >= 10).alias("ten_or_more"), F.count_if(n >= 50).alias("fifty_or_more"),
     )
 
@@ -159,9 +167,19 @@ def rows_with(df: DataFrame, column: str, value) -> DataFrame:
     return df.sparkSession.sql(f"SELECT * FROM {{t}} WHERE `{column}` = :value", args={"value": value}, t=df)
 
 
+def liker_sample(original: DataFrame, consolidated: DataFrame, n: int = 5, seed: int = 7) -> DataFrame:
+    """Liked posts drawn by digest: the likers that they were given, and those counted anew."""
+    drawn = consolidated.where("like_count > 0").orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "id")), "id").limit(n)
+    anew = consolidate.likers(original.join(drawn.select("id"), "id", "left_semi")).select("id", F.col("liked_by_users").alias("counted"))
+    out = drawn.join(anew, "id", "left").select("id", "like_count", "liked_by_users", "counted")
+    return out.withColumn("agree", F.col("liked_by_users").eqNullSafe(F.col("counted")))
+
+
 def verification(original: DataFrame, consolidated: DataFrame) -> dict[str, DataFrame]:
-    """The whole report on a consolidation: what it kept, lost and inferred."""
+    """The whole report on a consolidation: what it kept, lost and inferred, its threads and who answers whom."""
+    posts = consolidated.select("id", F.nullif("in_reply_to_status_id", F.lit("")).alias("parent_id"), F.col("user_screen_name").alias("author"), F.col("full_text").alias("text"), "created_at")
     return {
+        "likers": liker_sample(original, consolidated), "thread_sizes": thread_size_stats(threads.direct_sizes(posts)), "hot_threads": threads.hot_threads(posts), "interactions": threads.interactions(posts),
         "counts": counts(original), "kept": counts(consolidated), "types": type_shares(original), "duplicates": duplicates(original), "type_pairs": type_pairs(original), "duplicate_rows": duplicate_rows(original),
         "missing_ids": missing_ids(original, consolidated), "gaps": gaps(consolidated), "most_liked": top_liked(consolidated),
     }

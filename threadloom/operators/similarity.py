@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadloom.operators.durable import written
+
+#: Minima of a user's sketch, and how many of them a band has.
+MINIMA, BAND = 64, 2
+#: Users of a bucket that meet each other; beyond that the next band must be common, too.
+CROWD = 64
 #: Weights of the ways of interacting. Fixed values.
 WEIGHTS = {"mention": 0.7, "reply": 0.8, "quote": 0.6}
 
@@ -45,3 +53,113 @@ def similar_users(texts: DataFrame, pairs: DataFrame, threshold: float = 0.7) ->
     tb = texts.select(F.col("user").alias("b"), F.col("text").alias("tb"))
     out = pairs.select("a", "b").distinct().join(ta, "a").join(tb, "b").select("a", "b", compression_distance("ta", "tb").alias("distance"))
     return out.where(F.col("distance") <= threshold)
+
+
+def active_users(posts: DataFrame, likes: DataFrame | None = None, least_posts: int = 1, least_likes: int = 0) -> DataFrame:
+    """``user`` of those with so many posts (``user, text``) and likes (``user``)."""
+    many = posts.where("user is not null").groupBy("user").count().where(F.col("count") >= least_posts).select("user")
+    if least_likes and likes is not None:
+        many = many.join(likes.groupBy("user").count().where(F.col("count") >= least_likes).select("user"), "user", "left_semi")
+    return many
+
+
+def sketches(posts: DataFrame) -> DataFrame:
+    """``user, bands``: minima of hashed words, in bands; aggregates with map-side combining."""
+    words = F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")))
+    said = posts.select("user", words.alias("word"))
+    least = said.groupBy("user").agg(*[F.min(F.xxhash64(F.col("word"), F.lit(i))).alias(f"m{i}") for i in range(MINIMA)])
+    bands = F.array(*[F.xxhash64(*[F.col(f"m{i}") for i in range(b, b + BAND)]) for b in range(0, MINIMA, BAND)])
+    return least.select("user", bands.alias("bands"))
+
+
+def candidates(posts: DataFrame, edges: DataFrame | None = None, crowd: int = CROWD) -> DataFrame:
+    """``a, b`` (a < b): users that share a band, or interact.
+
+    Users of equal sketches are a class, and only its first user meets others.
+    The users of a bucket meet in pairs up to ``crowd`` of them; the users of a
+    fuller one are dealt again by the band after, round by round, so no bucket
+    makes more pairs than that. All bands round, users would be one class.
+    """
+    own = written(sketches(posts), "sketches")
+    classes = written(own.groupBy("bands").agg(F.min("user").alias("first")), "sketch-classes")
+    within = own.join(classes, "bands").where("user != first").select(F.col("first").alias("a"), F.col("user").alias("b"))
+    n = MINIMA // BAND
+    open_ = classes.select("first", "bands", F.posexplode("bands").alias("at", "key"))
+    rounds = [within]
+    for step in range(1, n + 1):
+        sizes = written(open_.groupBy("at", "key").agg(F.count("*").alias("size")).where("size > 1"), "sketch-sizes")
+        held = written(open_.join(sizes, ["at", "key"]), "sketch-buckets")
+        few = held.where(F.col("size") <= crowd).select("at", "key", "first")
+        pairs = few.withColumnRenamed("first", "a").join(few.withColumnRenamed("first", "b"), ["at", "key"]).where("a < b").select("a", "b")
+        rounds.append(pairs)
+        full = held.where(F.col("size") > crowd)
+        if full.isEmpty():
+            break
+        open_ = full.select("first", "bands", "at", F.xxhash64("key", F.element_at("bands", (F.pmod(F.col("at") + step, F.lit(n)) + 1).cast("int"))).alias("key"))
+    if edges is not None:
+        rounds.append(edges.where("source != target").select(F.least("source", "target").alias("a"), F.greatest("source", "target").alias("b")))
+    out = rounds[0]
+    for more in rounds[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
+
+
+def distances(posts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``a, b, distance``: compression distance of all that two users wrote.
+
+    Posts (``user, id, text``) stream through three compressors in the order of
+    their ids, a pair after another, so a task holds no user's text.
+    """
+    each = posts.select("user", "id", F.coalesce("text", F.lit("")).alias("text"))
+    sides = [pairs.join(each.withColumnRenamed("user", x), x).select("a", "b", F.lit(x).alias("side"), "id", "text") for x in ("a", "b")]
+    n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stream = sides[0].unionByName(sides[1]).repartition(n, "a", "b").sortWithinPartitions("a", "b", "side", "id", "text").select("a", "b", "side", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def start():
+            return {k: [zlib.compressobj(9), 0, False] for k in ("a", "b", "both")}
+
+        def feed(held, data):
+            held[1] += len(held[0].compress(b" " + data if held[2] else data))
+            held[2] = True
+
+        key, now = None, start()
+        done: list[tuple] = []
+
+        def end():
+            if key is not None:
+                x, y, xy = (now[k][1] + len(now[k][0].flush()) for k in ("a", "b", "both"))
+                done.append((*key, min(1.0, max(0.0, (xy - min(x, y)) / max(x, y)))))
+
+        def batch_of():
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.string(), pa.string(), pa.float64()), strict=True)], names=["a", "b", "distance"])
+            done.clear()
+            return out
+
+        for batch in batches:
+            for a, b, side, text in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+                if (a, b) != key:
+                    end()
+                    key, now = (a, b), start()
+                data = text.encode("utf-8", "surrogatepass")
+                feed(now[side], data)
+                feed(now["both"], data)
+            if done:
+                yield batch_of()
+        end()
+        if done:
+            yield batch_of()
+
+    return stream.mapInArrow(run, "a string, b string, distance double")
+
+
+def user_similarity(posts: DataFrame, edges: DataFrame | None = None, likes: DataFrame | None = None, least_posts: int = 2, least_likes: int = 0, threshold: float = 0.7, crowd: int = CROWD) -> DataFrame:
+    """``user, other, distance, similarity`` of similar users, both ways; a sparse matrix as a table."""
+    active = written(active_users(posts, likes, least_posts, least_likes), "active-users")
+    own = posts.join(active, "user", "left_semi")
+    pairs = candidates(own, edges, crowd)
+    for x in ("a", "b"):
+        pairs = pairs.join(active.withColumnRenamed("user", x), x, "left_semi")
+    near = written(distances(own, pairs).where(F.col("distance") <= threshold), "similar-users")
+    both = near.select(F.col("a").alias("user"), F.col("b").alias("other"), "distance").unionByName(near.select(F.col("b").alias("user"), F.col("a").alias("other"), "distance"))
+    return both.withColumn("similarity", 1 - F.col("distance"))

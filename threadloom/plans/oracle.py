@@ -104,6 +104,7 @@ ORACLE: dict[str, str] = {
     "direct_thread_sizes": f"WITH {_THR}, s AS (SELECT t.id, count(c.id) AS replies FROM thr t LEFT JOIN thr p ON p.id = t.parent_id JOIN thr c ON c.parent_id = t.id WHERE p.id IS NULL GROUP BY t.id) SELECT count(*) AS threads, min(replies) AS least, max(replies) AS most, round(avg(replies), 6) AS mean, CAST(median(replies) AS DOUBLE) AS median_replies, count(*) FILTER (replies >= 10) AS ten_or_more, count(*) FILTER (replies >= 50) AS fifty_or_more FROM s",
     "conversation_threads": f"WITH {_THR}, {_DIR} SELECT root_id, length, array_to_string(list_transform(replies, lambda r: r.id), ',') AS reply_ids FROM dir",
     "thread_closure": f"{_REC} SELECT root_id, id, depth FROM mem",
+    "thread_closure_batches": f"{_REC} SELECT root_id, id, depth FROM mem",
     "thread_stats": f"{_REC} SELECT m.root_id, count(*) - 1 AS reply_count, max(depth) AS max_depth, count(DISTINCT author) AS participants, {_TS.format('min(created_at)')} AS first_at, {_TS.format('max(created_at)')} AS last_at FROM mem m JOIN thr t ON t.id = m.id GROUP BY m.root_id HAVING count(*) > 3",
     "thread_paths": f"WITH RECURSIVE {_THR}, up AS (SELECT t.id, p.id AS pid FROM thr t LEFT JOIN thr p ON p.id = t.parent_id), clo AS (SELECT id AS root_id, id, 0 AS depth, CAST(id AS VARCHAR) AS path FROM up WHERE pid IS NULL AND id IN (SELECT pid FROM up WHERE pid IS NOT NULL) UNION ALL SELECT c.root_id, u.id, c.depth + 1, c.path || '/' || u.id FROM clo c JOIN up u ON u.pid = c.id WHERE c.depth < 3) SELECT root_id, id, depth, path FROM clo",
     "quoted_posts": f"WITH {_THR}, q AS (SELECT id, regexp_extract(quote_url, '/status/([0-9]+)', 1) AS q FROM thr WHERE quote_url IS NOT NULL) SELECT id, CAST(q AS BIGINT) AS quoted_id FROM q WHERE q <> '' AND q <> CAST(id AS VARCHAR)",

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import links, markup, scalar
-from threadloom.operators import consolidate, exports, identity, merging, profile, threads
+from threadloom.operators import consolidate, exports, growing, identity, merging, profile, threads
 from threadloom.operators import links as url_ops
+from threadloom.operators.durable import shared_dir
 from threadloom.plans import archive_queries, carriers
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(archive_queries.Q)
@@ -181,6 +183,16 @@ def thread_closure(spark, sf):
     return threads.closure(carriers.threads(spark, sf))
 
 
+@query
+def thread_closure_batches(spark, sf):
+    """The closure kept up to date over three batches, which cut through the threads."""
+    posts = carriers.threads(spark, sf)
+    folder = f"{shared_dir(spark)}/threadloom/growing-{uuid.uuid4().hex}"
+    for k in range(3):
+        growing.extend(posts.where(F.pmod(F.xxhash64("id"), F.lit(3)) == k), folder)
+    return growing.closure(spark, folder)
+
+
 @query
 def thread_stats(spark, sf):
     s = threads.thread_stats(carriers.threads(spark, sf), 3)
@@ -476,3 +488,12 @@ def interaction_scores(spark, sf):
     kind = F.when(F.col("tweet_type") == "like", "mention").when(F.col("is_reply"), "reply").when(F.col("tweet_type") == "note_tweet", "quote").otherwise("other")
     edges = s.select((F.col("user_id").cast("long") % 20).alias("source"), (F.length("full_text") % 7 + F.col("favorite_count")).cast("long").alias("target"), kind.alias("kind"))
     return similarity.interaction_scores(edges)
+
+
+@query
+def user_similarity(spark, sf):
+    """Sources as users, by all that their documents say."""
+    from threadloom.operators import similarity
+
+    posts = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("source").alias("user"), F.col("doc_id").alias("id"), "text")
+    return similarity.user_similarity(posts, threshold=0.95)
