@@ -64,3 +64,40 @@ f AS (SELECT rid, doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln
 r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) OVER () AS n FROM f WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM f LEFT JOIN r USING (rid)
 """
+
+STATISTICS = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT rid, i, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, s) AS n FROM g) WHERE n > 1),
+c AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM r) GROUP BY rid),
+l AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+a AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words FROM d JOIN l USING (rid) LEFT JOIN c USING (rid))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a
+"""
+
+PHRASES = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+p AS (SELECT doc_id, w, list_filter(range(1, len(w)), lambda i: w[i] = 'cc' AND w[i + 1] = 'by') AS a, list_filter(range(1, len(w) - 1), lambda i: w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license') AS b,
+  list_filter(range(1, len(w) - 1), lambda i: w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved') AS c FROM d)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(a) + len(b) + len(c) AS BIGINT) AS n_base, list_min(list_concat(a, b, c)) - 1 AS first_word, list_max(list_concat(a, b, c)) - 1 AS last_word,
+  array_to_string(list_filter([CASE WHEN len(a) > 0 THEN 'cc-by' END, CASE WHEN len(b) > 0 THEN 'gpl' END, CASE WHEN len(c) > 0 THEN 'reserved' END], lambda x: x IS NOT NULL), ',') AS base_labels FROM p
+"""
+
+FIXED_RULES = r"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+f(h, p) AS (VALUES ('com', '/'), ('example.com', '/en/'), ('www.example.com', '/en/'), ('net', '/es/'), ('net', '/fr/'))
+SELECT page_id, host, path, (SELECT arg_max(f.h || f.p, length(f.h || f.p)) FROM f WHERE (host = f.h OR ends_with(host, '.' || f.h)) AND starts_with(path, f.p)) AS rule FROM p
+"""
+
+#: Sources in the order in which they reach their bound; the first that does not tells the words a weight.
+TARGETS = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1.0::DOUBLE AS w FROM d GROUP BY source),
+o AS (SELECT *, 3 * source_size / w AS r, (SELECT sum(source_size) FROM s) - coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words,
+  sum(w) OVER (ORDER BY 3 * source_size / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM s),
+n AS (SELECT coalesce((SELECT words / rest FROM o WHERE words / rest <= r ORDER BY r, source LIMIT 1), 1e300) AS unit)
+SELECT doc_id, size, source_size, round(least(3.0::DOUBLE * source_size, w * unit), 3) AS target FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source, n
+"""
