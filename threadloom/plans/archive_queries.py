@@ -16,7 +16,7 @@ from threadloom.functions import scalar
 from threadloom.operators import profile, threads
 from threadloom.operators.durable import shared_dir
 from threadloom.plans import carriers
-from threadloom.sources import archives, splittable, tails
+from threadloom.sources import archives, shapes, splittable, tails
 
 POSTS = {"tweets": ("purchase", "error"), "community-tweet": ("view",), "note-tweet": ("signup",), "like": ("click",)}
 
@@ -112,6 +112,12 @@ def archive_file_states(spark, sf):
     return found.select("archive_file", "corrupt", F.when(~F.col("corrupt"), F.get(F.col("archive.account"), 0)["account"]["username"]).alias("username"))
 
 
+def archive_shapes(spark, sf):
+    """Places and kinds of all documents."""
+    found = shapes.shapes(documents(spark, sf)).where("place like '$.%.%'")
+    return found.select("place", "kind", "n", "documents", "optional", "conflict")
+
+
 def archive_file_tails(spark, sf):
     """Metadata from the ends of files on disk."""
     found = tails.archive_tails(spark, _folder(spark, sf), "part-*")
@@ -161,7 +167,7 @@ def text_previews(spark, sf):
 
 Q = {f.__name__: f for f in (
     archive_rows, archive_conversion, archive_accounts, archive_owners, archive_profiles, archive_quarantine, archive_signatures, archive_metadata, archive_kinds,
-    archive_file_rows, archive_file_states, archive_file_tails,
+    archive_file_rows, archive_file_states, archive_file_tails, archive_shapes,
     duplicate_rows, version_counts, first_authors, hot_thread_members, post_sample, table_profile, text_previews,
 )}
 
