@@ -61,8 +61,9 @@ def words(x: Column | str) -> Column:
 
 def clean_text(x: Column | str) -> Column:
     """Without mentions, links and hashtags; one space between words."""
-    keep = F.filter(words(x), lambda w: ~(w.startswith("@") | w.startswith("http") | w.startswith("#")))
-    return F.array_join(keep, " ")
+    blank = r"\s\x1C-\x1F"
+    kept = F.regexp_replace(c(x), rf"(?U)(?<![^{blank}])(?:@|http|#)[^{blank}]*+", "")
+    return F.trim(F.regexp_replace(kept, _SPACE, " "))
 
 
 def marked_words(x: Column | str, mark: str) -> Column:

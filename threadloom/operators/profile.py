@@ -120,6 +120,17 @@ def missing_ids(original: DataFrame, consolidated: DataFrame) -> DataFrame:
     return gone.agg(F.count_distinct("id").alias("missing"))
 
 
+def version_counts(tweets: DataFrame) -> DataFrame:
+    """Every row with how many rows share its id, null ids among them; counted first, so a frequent id is no window."""
+    counted = tweets.groupBy(F.col("id").alias("__id")).agg(F.count("*").alias("versions"))
+    return tweets.join(counted, F.col("id").eqNullSafe(F.col("__id"))).drop("__id")
+
+
+def first_authors(tweets: DataFrame, top: int = 25) -> DataFrame:
+    """The first distinct authors of replies in the order of their names."""
+    return tweets.where("is_reply").select("user_screen_name", "user_name").distinct().orderBy("user_screen_name", "user_name").limit(top)
+
+
 def reply_stats(tweets: DataFrame) -> DataFrame:
     reply = F.col("in_reply_to_status_id").isNotNull()
     return tweets.agg(F.count("*").alias("total"), F.count_if(reply).alias("replies"), F.count_distinct(F.when(reply, F.col("in_reply_to_status_id"))).alias("targets"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import scalar
@@ -135,14 +135,13 @@ def duplicate_rows(spark, sf):
 
 
 def version_counts(spark, sf):
-    """Every row with how many rows share its id, by a window."""
-    tweets = carriers.source(spark, sf)
-    return tweets.select("id", "tweet_type", "archive_file", "full_text", F.count("*").over(Window.partitionBy("id")).alias("versions"))
+    """Every row with how many rows share its id."""
+    return profile.version_counts(carriers.source(spark, sf).select("id", "tweet_type", "archive_file", "full_text"))
 
 
 def first_authors(spark, sf):
     """The first distinct authors of replies in the order of their names."""
-    return carriers.source(spark, sf).where("is_reply").select("user_screen_name", "user_name").distinct().orderBy("user_screen_name", "user_name").limit(25)
+    return profile.first_authors(carriers.source(spark, sf))
 
 
 def hot_thread_members(spark, sf):
