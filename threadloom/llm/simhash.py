@@ -22,6 +22,8 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -48,6 +50,11 @@ def simhash64(text: str | None, shingle: int = 3) -> int:
         stops = (ends[shingle - 1 :] - 1).tolist()
         digest = xxhash.xxh64_digest
         digests = b"".join([digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)])
+    return majority(digests)
+
+
+def majority(digests: bytes) -> int:
+    """Each of 64 bits that more than half of the 8-byte digests have."""
     n = len(digests) // 8
     raw = np.frombuffer(digests, np.uint8).reshape(n, 8)
     counts = np.zeros(64, np.int64)
@@ -133,21 +140,38 @@ def _merge(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
             parent[:] = up
 
 
-def _forest(left: bytes, right: bytes | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Star links (member, smallest) among the fingerprints of two blocks."""
+def _tree(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Joins the sets of x[i] and y[i] like ``_merge``; yields those pairs that do it, fewer than the sets."""
+    while True:
+        rx, ry = parent[x], parent[y]
+        open_ = rx != ry
+        x, y = x[open_], y[open_]
+        if not len(x):
+            return
+        one = np.unique(np.maximum(rx, ry)[open_], return_index=True)[1]  # a pair for each larger root leads to a smaller one
+        yield x[one], y[one]
+        _merge(parent, x[one], y[one])
+
+
+def _forest(left: bytes, right: bytes | None, radius: int, direct: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Star links (member, smallest) among the fingerprints of two blocks, or ``direct``: links of pairs within the radius."""
     a = _Tiles(np.frombuffer(left, np.uint64))
     b = a if right is None else _Tiles(np.frombuffer(right, np.uint64))
     shift = 0 if right is None else len(a.fps)
     parent = np.arange(shift + len(b.fps))
+    every = a.fps if right is None else np.concatenate([a.fps, b.fps])
+    if direct:
+        found = [pair for x, y in _near_pairs(a, b, right is None, radius) for pair in _tree(parent, x, y + shift)]
+        us, vs = (np.concatenate([np.zeros(0, np.int64), *side]) for side in ([u for u, _ in found], [v for _, v in found]))
+        return every[us], every[vs]
     for x, y in _near_pairs(a, b, right is None, radius):
         _merge(parent, x, y + shift)
-    every = a.fps if right is None else np.concatenate([a.fps, b.fps])
     child = np.flatnonzero(parent != np.arange(len(parent)))
     return every[child], every[parent[child]]
 
 
-def links(distinct: DataFrame, radius: int = 3, block_rows: int = 1 << 16) -> DataFrame:
-    """Spanning links ``(u, v)`` of distinct fingerprints within ``radius``.
+def links(distinct: DataFrame, radius: int = 3, block_rows: int = 1 << 16, direct: bool = False) -> DataFrame:
+    """Spanning links ``(u, v)`` of distinct fingerprints within ``radius``; ``direct``: u and v themselves are within it.
 
     ``distinct`` has one column ``fp``. Blocks hold ``block_rows`` rows on
     average; with n blocks each block meets every other once, so the data
@@ -177,7 +201,7 @@ def links(distinct: DataFrame, radius: int = 3, block_rows: int = 1 << 16) -> Da
         def work(rows):
             out = []
             for _, _, a, b in rows:
-                u, v = _forest(a, b, radius)
+                u, v = _forest(a, b, radius, direct)
                 out += zip(u.view(np.int64).tolist(), v.view(np.int64).tolist(), strict=True)
             return out
 
