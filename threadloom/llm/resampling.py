@@ -3,7 +3,7 @@
 Every text becomes a row of a sparse matrix of counts: document by bucket of
 hashed word n-grams. The matrix is kept as a table of CSR blocks (row pointers,
 bucket indices, counts), each of about a megabyte of text, so texts are read and
-hashed once. Column sums of the corpus' and the target's blocks give two smoothed
+hashed once; a row group holds a few blocks, so readers do, too. Column sums of the corpus' and the target's blocks give two smoothed
 distributions, their log ratio is each bucket's gain, and the product of the
 blocks with the vector of gains weighs the documents. Gumbel noise drawn from
 ``doc_id`` makes the best scores a sample by weight without replacement.
@@ -41,6 +41,8 @@ LEAST_WORDS = 20
 PERCENT = 10
 #: Bytes of text whose words are held at once.
 SLICE = 1 << 20
+#: Blocks of a row group, which is what a task reads at once.
+GROUP_BLOCKS = 8
 #: Distinct n-grams whose buckets a task remembers.
 REMEMBERED = 1 << 18
 #: ASCII letters and digits, lower-cased, and all bytes of other characters; the rest separates words.
@@ -117,7 +119,8 @@ def csr_blocks(docs: DataFrame, tag: str, buckets: int = BUCKETS, ngram: int = N
 
     known = F.col(f"`{id_col}`").cast("long") if id_col in docs.columns else F.lit(None).cast("long")
     texts = docs.select(known.alias("doc_id"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("data"))
-    return written(map_rows(texts, make, _BLOCK, weigh=1), tag)
+    # Spark's reader decodes up to 4,096 rows of a row group at once, which would be gigabytes of blocks
+    return written(map_rows(texts, make, _BLOCK, weigh=1), tag, **{"parquet.block.row.count.limit": GROUP_BLOCKS})
 
 
 def column_sums(blocks: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
