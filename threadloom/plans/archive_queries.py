@@ -7,8 +7,11 @@ themselves and knows nothing of documents.
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,23 +95,39 @@ def archive_metadata(spark, sf):
 
 
 def _folder(spark, sf) -> str:
-    """The documents as files, one an archive, each in a folder of its name."""
+    """The documents as files, one an archive, all in one folder.
+
+    Tasks write them by their names. A folder of its own for each would cost a
+    commit and a listing one by one.
+    """
     path = f"{shared_dir(spark)}/threadloom/archives-{uuid.uuid4().hex}"
-    documents(spark, sf).repartition("archive_file").write.partitionBy("archive_file").text(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, inner = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+        store.create_dir(inner, recursive=True)
+        for batch in batches:
+            for name, raw in zip(batch.column(0), batch.column(1), strict=True):
+                whole, part = f"{inner}/{name.as_py()}", f"{inner}/.{name.as_py()}-{uuid.uuid4().hex}"  # hidden until it is whole
+                with store.open_output_stream(part) as out:
+                    out.write(raw.as_py().encode("utf-8", "surrogatepass") + b"\n")
+                store.move(part, whole)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    documents(spark, sf).repartition(n, "archive_file").mapInArrow(run, "n long").agg(F.sum("n")).collect()
     return path
 
 
-_NAME = "regexp_extract(_metadata.file_path, 'archive_file=([^/]*)', 1)"
-
-
 def archive_file_rows(spark, sf):
     """From files on disk, by the splittable reader."""
-    return _flat(splittable.source_tweets(splittable.read(spark, _folder(spark, sf), "part-*", _NAME)))
+    return _flat(splittable.source_tweets(splittable.read(spark, _folder(spark, sf))))
 
 
 def archive_file_states(spark, sf):
     """Which files are archives, and whose."""
-    found = splittable.read(spark, _folder(spark, sf), "part-*", _NAME).archives
+    found = splittable.read(spark, _folder(spark, sf)).archives
     return found.select("archive_file", "corrupt", F.when(~F.col("corrupt"), F.get(F.col("archive.account"), 0)["account"]["username"]).alias("username"))
 
 
@@ -120,8 +139,7 @@ def archive_shapes(spark, sf):
 
 def archive_file_tails(spark, sf):
     """Metadata from the ends of files on disk."""
-    found = tails.archive_tails(spark, _folder(spark, sf), "part-*")
-    return found.select(F.regexp_extract("path", r"archive_file=([^/]*)", 1).alias("archive_file"), "metadata")
+    return tails.archive_tails(spark, _folder(spark, sf)).select("archive_file", "metadata")
 
 
 def archive_kinds(spark, sf):
