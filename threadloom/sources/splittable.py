@@ -195,22 +195,25 @@ def _joined(chunks: DataFrame, starts: DataFrame) -> DataFrame:
     return chunks.join(F.broadcast(starts) if few else starts, ["path", "start", "seq"])
 
 
-def _pieces(chunks: DataFrame, entries: bool) -> DataFrame:
-    """Roles, sections and texts of the entries, or what is left of each chunk."""
+def _pieces(chunks: DataFrame) -> DataFrame:
+    """Roles, sections and texts of the entries, and what is left of each chunk (role rest); written, so chunks are cut once."""
     names = ["path", "start", "seq", "ord", "role", "section", "text"]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows, size = [], 0
             for i in range(batch.num_rows):
                 path, start, seq, inside, depth, section, phantom, data = (batch.column(k)[i].as_py() for k in range(8))
                 found, rest = cut(data[:-1] if phantom else data, inside, depth, section)
-                rows = [(path, start, seq, k, *x) for k, x in enumerate(found)] if entries else [(path, start, seq, 0, "rest", None, rest)]
-                if rows:
+                rows += [(path, start, seq, k, *x) for k, x in enumerate([*found, ("rest", None, rest)])]
+                size += len(data)
+                if size >= CHUNK_BYTES or i == batch.num_rows - 1:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                    rows, size = [], 0
 
     own = chunks.select("path", "start", "seq", "inside", "depth", "section", "phantom", "data")
-    return own.mapInArrow(run, "path string, start long, seq long, ord long, role string, section string, text binary").withColumn("text", F.col("text").cast("string"))
+    return written(own.mapInArrow(run, "path string, start long, seq long, ord long, role string, section string, text binary").withColumn("text", F.col("text").cast("string")), "archive-pieces")
 
 
 def _in_order(pieces: DataFrame, *by: str) -> DataFrame:
@@ -227,15 +230,15 @@ def read(spark: SparkSession, path: str, glob: str = "*_archive.json", name: str
     alone = chunks.where(whole).select("path", "start", "seq", F.lit(0).cast("long").alias("inside"), F.lit(0).cast("long").alias("depth"), F.lit("").alias("section"), (c("n_bytes") > c("file_size")).alias("phantom"), "data")
     parts = chunks.where(~whole)
     known = alone.unionByName(_joined(parts, _starts(parts)).select(*alone.columns))
-    found = _pieces(known, True)
-    across = written(found.where("role != 'entry'"), "archive-across")  # two a chunk at most
+    found = _pieces(known)
+    across = found.where("role in ('head', 'middle', 'tail')")  # two a chunk at most
     nth = F.count_if(c("role") == "head").over(Window.partitionBy("path").orderBy("start", "seq", "ord").rowsBetween(Window.unboundedPreceding, 0))
     joined = _in_order(across.withColumn("nth", nth).withColumn("section", F.first("section").over(Window.partitionBy("path", "nth").orderBy("start", "seq", "ord"))), "path", "nth", "section")
     entries = found.where("role = 'entry'").select("path", "section", "text").unionByName(joined.select("path", "section", "text"))
     entries = entries.withColumn("text", F.replace("text", F.lit('"tWeetId"'), F.lit('"tweetId"')))
     bad = entries.where(F.try_parse_json("text").isNull()).select("path").distinct()
     names = chunks.where("start = 0 and seq = 0").select("path", c("name").alias("archive_file"))
-    short = _in_order(_pieces(known, False), "path").join(names, "path").select("archive_file", "path", c("text").alias("raw"))
+    short = _in_order(found.where("role = 'rest'"), "path").join(names, "path").select("archive_file", "path", c("text").alias("raw"))
     read_ = archives.parse_archives(short)
     judged = read_.join(bad.withColumn("bad", F.lit(True)), "path", "left").withColumn("corrupt", c("corrupt") | F.coalesce("bad", F.lit(False))).drop("bad")
     return Split(written(judged.select(*read_.columns), "archive-short"), entries)
