@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from threadloom.operators.durable import written
 
@@ -17,6 +18,8 @@ from threadloom.operators.durable import written
 MINIMA, BAND = 64, 2
 #: Users of a bucket that meet each other; beyond that the next band must be common, too.
 CROWD = 64
+#: Bytes of text in a piece, parts of the whole work at least as large as which parts are, tasks they are spread over at most.
+CHUNK, PARTS, MOST_TASKS = 262_144, 32, 2_000
 #: Weights of the ways of interacting. Fixed values.
 WEIGHTS = {"mention": 0.7, "reply": 0.8, "quote": 0.6}
 
@@ -66,7 +69,7 @@ def active_users(posts: DataFrame, likes: DataFrame | None = None, least_posts:
 def sketches(posts: DataFrame) -> DataFrame:
     """``user, bands``: minima of hashed words, in bands; aggregates with map-side combining."""
     words = F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")))
-    said = posts.select("user", words.alias("word"))
+    said = posts.select("user", words.alias("word")).distinct()  # a word is hashed once a user, not once a post
     least = said.groupBy("user").agg(*[F.min(F.xxhash64(F.col("word"), F.lit(i))).alias(f"m{i}") for i in range(MINIMA)])
     bands = F.array(*[F.xxhash64(*[F.col(f"m{i}") for i in range(b, b + BAND)]) for b in range(0, MINIMA, BAND)])
     return least.select("user", bands.alias("bands"))
@@ -104,53 +107,129 @@ def candidates(posts: DataFrame, edges: DataFrame | None = None, crowd: int = CR
     return out.distinct()
 
 
-def distances(posts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``a, b, distance``: compression distance of all that two users wrote.
+def chunks(posts: DataFrame) -> DataFrame:
+    """``user, id, n, size, packed``: all that a user wrote, cut into packed pieces, in the order of ``id, n``.
 
-    Posts (``user, id, text``) stream through three compressors in the order of
-    their ids, a pair after another, so a task holds no user's text.
+    Posts (``user, id, text``) follow each other by ``id, text``, each after a
+    blank, so the first byte of a user's first piece is none of theirs.
     """
     each = posts.select("user", "id", F.coalesce("text", F.lit("")).alias("text"))
-    sides = [pairs.join(each.withColumnRenamed("user", x), x).select("a", "b", F.lit(x).alias("side"), "id", "text") for x in ("a", "b")]
     n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stream = sides[0].unionByName(sides[1]).repartition(n, "a", "b").sortWithinPartitions("a", "b", "side", "id", "text").select("a", "b", "side", "text")
+    # rows of equal user and id stay together, so the pieces of two partitions never interleave
+    ordered = each.repartitionByRange(n, "user", "id").sortWithinPartitions("user", "id", "text")
+    id_type = posts.schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def start():
-            return {k: [zlib.compressobj(9), 0, False] for k in ("a", "b", "both")}
-
-        def feed(held, data):
-            held[1] += len(held[0].compress(b" " + data if held[2] else data))
-            held[2] = True
-
-        key, now = None, start()
+        schema = to_arrow_schema(T.StructType([T.StructField("user", T.StringType()), T.StructField("id", id_type)]))
+        schema = schema.append(pa.field("n", pa.int64())).append(pa.field("size", pa.int64())).append(pa.field("packed", pa.binary()))
+        user, first, n, held = None, None, 0, bytearray()
         done: list[tuple] = []
 
-        def end():
-            if key is not None:
-                x, y, xy = (now[k][1] + len(now[k][0].flush()) for k in ("a", "b", "both"))
-                done.append((*key, min(1.0, max(0.0, (xy - min(x, y)) / max(x, y)))))
+        def cut(size):
+            nonlocal n
+            done.append((user, first, n, size, pa.compress(bytes(held[:size]), "zstd", asbytes=True)))
+            del held[:size]
+            n += 1
 
         def batch_of():
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.string(), pa.string(), pa.float64()), strict=True)], names=["a", "b", "distance"])
+            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
             done.clear()
             return out
 
         for batch in batches:
-            for a, b, side, text in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                if (a, b) != key:
+            for u, i, text in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+                if u != user:
+                    if held:
+                        cut(len(held))
+                    user, n = u, 0
+                if not held:
+                    first = i
+                held += b" " + text.encode("utf-8", "surrogatepass")
+                while len(held) >= CHUNK:
+                    cut(CHUNK)
+                    first = i
+                if len(done) >= 64:
+                    yield batch_of()
+        if held:
+            cut(len(held))
+        if done:
+            yield batch_of()
+
+    return ordered.mapInArrow(run, T.StructType([T.StructField("user", T.StringType()), T.StructField("id", id_type)]).add("n", "long").add("size", "long").add("packed", "binary"))
+
+
+def dealt(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``a, part, b``: the pairs of an ``a`` in parts, and each user that is no ``a`` with a null ``b``.
+
+    A part compresses the text of ``a`` once, then each ``b`` behind it. It has
+    about as much text of others as ``a`` has, or more where the whole work is
+    far larger, so that little is done twice and no part is much of the whole.
+    """
+    of = pairs.join(sizes.withColumnRenamed("user", "b"), "b").select("a", "b", F.col("size").alias("of_b"))
+    sums = of.groupBy("a").agg(F.sum("of_b").alias("of_all")).join(sizes.withColumnRenamed("user", "a"), "a")
+    whole = sums.agg((F.sum("of_all") / PARTS).alias("least"))
+    parts = sums.crossJoin(F.broadcast(whole)).select("a", F.ceil(F.col("of_all") / F.greatest("size", "least", F.lit(1))).alias("parts"))
+    met = of.join(parts, "a").select("a", F.pmod(F.xxhash64("a", "b"), F.col("parts")).alias("part"), "b")
+    alone = pairs.select(F.col("b").alias("a")).distinct().join(sums, "a", "left_anti")
+    return met.unionByName(alone.select("a", F.lit(0).cast("long").alias("part"), F.lit(None).cast("string").alias("b")))
+
+
+def distances(posts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``a, b, distance``: compression distance of all that two users wrote.
+
+    A compressor that has read all of ``a`` is copied for each ``b`` that meets
+    it, so a text of ``a`` is compressed once a part, not once a pair. Texts
+    stream through in pieces; a task holds no user's text.
+    """
+    pieces = written(chunks(posts), "user-chunks")
+    sizes = pieces.groupBy("user").agg(F.sum("size").alias("size"))
+    plan = written(dealt(pairs, sizes), "user-parts")
+    keys = plan.select("a", "part").distinct()
+    first = keys.join(pieces.withColumnRenamed("user", "a"), "a").select("a", "part", F.lit(None).cast("string").alias("b"), "id", "n", "size", "packed")
+    then = plan.where("b is not null").join(pieces.withColumnRenamed("user", "b"), "b").select("a", "part", "b", "id", "n", "size", "packed")
+    # few parts are spread over many tasks, so that two large ones seldom share one
+    n = max(int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(8 * keys.count(), MOST_TASKS))
+    stream = first.unionByName(then).repartition(n, "a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"), F.asc_nulls_first("id"), "n").select("a", "part", "b", "size", "packed")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = other = base = now = None
+        size = 0
+        done: list[tuple] = []
+
+        def end():
+            """The size of what was read last: of ``a``, or of ``a`` and ``b``."""
+            if key is not None:
+                done.append((key[0], other, size + len(now.copy().flush())))
+
+        for batch in batches:
+            for a, part, b, raw, packed in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
+                at, data = (a, part), pa.decompress(packed, raw, "zstd", asbytes=True)
+                if at != key:
                     end()
-                    key, now = (a, b), start()
-                data = text.encode("utf-8", "surrogatepass")
-                feed(now[side], data)
-                feed(now["both"], data)
+                    key, other, now, size = at, None, zlib.compressobj(9), 0
+                    data = data[1:]
+                elif b != other:
+                    end()
+                    if other is None:
+                        base = now, size
+                    other, now, size = b, base[0].copy(), base[1]
+                size += len(now.compress(data))
             if done:
-                yield batch_of()
+                yield sizes_of(done)
         end()
         if done:
-            yield batch_of()
-
-    return stream.mapInArrow(run, "a string, b string, distance double")
+            yield sizes_of(done)
+
+    def sizes_of(done):
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.string(), pa.string(), pa.int64()), strict=True)], names=["a", "b", "size"])
+        done.clear()
+        return out
+
+    packed_sizes = written(stream.mapInArrow(run, "a string, b string, size long"), "user-sizes")
+    own = packed_sizes.where("b is null").groupBy("a").agg(F.min("size").alias("own"))
+    x, y, xy = F.col("x"), F.col("y"), F.col("size")
+    both = packed_sizes.where("b is not null").join(own.withColumnRenamed("own", "x"), "a").join(own.select(F.col("a").alias("b"), F.col("own").alias("y")), "b")
+    return both.select("a", "b", F.least(F.lit(1.0), F.greatest(F.lit(0.0), (xy - F.least(x, y)) / F.greatest(x, y))).alias("distance"))
 
 
 def user_similarity(posts: DataFrame, edges: DataFrame | None = None, likes: DataFrame | None = None, least_posts: int = 2, least_likes: int = 0, threshold: float = 0.7, crowd: int = CROWD) -> DataFrame:
