@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -76,8 +77,9 @@ def sketches(posts: DataFrame) -> DataFrame:
 
 
 def candidates(posts: DataFrame, edges: DataFrame | None = None, crowd: int = CROWD) -> DataFrame:
-    """``a, b`` (a < b): users that share a band, or interact.
+    """``a, b`` (a < b): users that share a band, or interact: a guess, which misses similar users.
 
+    For a first look only. ``user_similarity`` does not use it, but compares all.
     Users of equal sketches are a class, and only its first user meets others.
     The users of a bucket meet in pairs up to ``crowd`` of them; the users of a
     fuller one are dealt again by the band after, round by round, so no bucket
@@ -158,6 +160,65 @@ def chunks(posts: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, T.StructType([T.StructField("user", T.StringType()), T.StructField("id", id_type)]).add("n", "long").add("size", "long").add("packed", "binary"))
 
 
+def ncd(x: Column, y: Column, xy: Column) -> Column:
+    """Compression distance by the sizes of two texts and of both in a row, within 0 and 1."""
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), (xy - F.least(x, y)) / F.greatest(x, y)))
+
+
+def whole_texts(pieces: DataFrame) -> DataFrame:
+    """``user, own, sure, digest``: size of a user's packed text, what of it is out before the text ends, and a SHA-256.
+
+    Whatever follows the text, at least ``sure`` bytes come out.
+    """
+    n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stream = pieces.repartition(n, "user").sortWithinPartitions("user", F.asc_nulls_first("id"), "n").select("user", "size", "packed")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        user = packer = digest = None
+        sure = 0
+        done: list[tuple] = []
+
+        def end():
+            if user is not None:
+                done.append((user, sure + len(packer.flush()), sure, digest.digest()))
+
+        def batch_of():
+            types = pa.string(), pa.int64(), pa.int64(), pa.binary()
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names=["user", "own", "sure", "digest"])
+            done.clear()
+            return out
+
+        for batch in batches:
+            for u, raw, packed in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+                data = pa.decompress(packed, raw, "zstd", asbytes=True)
+                if u != user:
+                    end()
+                    user, packer, digest, sure = u, zlib.compressobj(9), hashlib.sha256(), 0
+                    data = data[1:]
+                sure += len(packer.compress(data))
+                digest.update(data)
+            if done:
+                yield batch_of()
+        end()
+        if done:
+            yield batch_of()
+
+    return stream.mapInArrow(run, "user string, own long, sure long, digest binary")
+
+
+def possible_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: first users of all classes of equal texts (``first, last, own, sure``) that may be within the threshold.
+
+    ``a`` goes first: some user of its class is before some of the other, or of
+    the same class. Left out is only what what is surely packed of ``a`` alone
+    puts beyond the threshold, so nothing similar is.
+    """
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = classes.select(F.col("first").alias("a"), F.col("own").alias("x"), "sure").repartition(n, "a")
+    b = classes.select(F.col("first").alias("b"), "last", F.col("own").alias("y"))
+    return a.join(F.broadcast(b), (F.col("a") < F.col("last")) & (ncd(F.col("x"), F.col("y"), F.col("sure")) <= threshold)).select("a", "b")
+
+
 def dealt(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """``a, part, b``: the pairs of an ``a`` in parts, and each user that is no ``a`` with a null ``b``.
 
@@ -174,14 +235,14 @@ def dealt(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return met.unionByName(alone.select("a", F.lit(0).cast("long").alias("part"), F.lit(None).cast("string").alias("b")))
 
 
-def distances(posts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``a, b, distance``: compression distance of all that two users wrote.
+def distances(posts: DataFrame, pairs: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
+    """``a, b, distance``: compression distance of all that two users wrote; ``pieces`` are their ``chunks``, if cut before.
 
     A compressor that has read all of ``a`` is copied for each ``b`` that meets
     it, so a text of ``a`` is compressed once a part, not once a pair. Texts
     stream through in pieces; a task holds no user's text.
     """
-    pieces = written(chunks(posts), "user-chunks")
+    pieces = written(chunks(posts), "user-chunks") if pieces is None else pieces
     sizes = pieces.groupBy("user").agg(F.sum("size").alias("size"))
     plan = written(dealt(pairs, sizes), "user-parts")
     keys = plan.select("a", "part").distinct()
@@ -227,18 +288,24 @@ def distances(posts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     packed_sizes = written(stream.mapInArrow(run, "a string, b string, size long"), "user-sizes")
     own = packed_sizes.where("b is null").groupBy("a").agg(F.min("size").alias("own"))
-    x, y, xy = F.col("x"), F.col("y"), F.col("size")
     both = packed_sizes.where("b is not null").join(own.withColumnRenamed("own", "x"), "a").join(own.select(F.col("a").alias("b"), F.col("own").alias("y")), "b")
-    return both.select("a", "b", F.least(F.lit(1.0), F.greatest(F.lit(0.0), (xy - F.least(x, y)) / F.greatest(x, y))).alias("distance"))
+    return both.select("a", "b", ncd(F.col("x"), F.col("y"), F.col("size")).alias("distance"))
+
 
+def user_similarity(posts: DataFrame, edges: DataFrame | None = None, likes: DataFrame | None = None, least_posts: int = 2, least_likes: int = 0, threshold: float = 0.7) -> DataFrame:
+    """``user, other, distance, similarity`` of similar users, both ways; a sparse matrix as a table.
 
-def user_similarity(posts: DataFrame, edges: DataFrame | None = None, likes: DataFrame | None = None, least_posts: int = 2, least_likes: int = 0, threshold: float = 0.7, crowd: int = CROWD) -> DataFrame:
-    """``user, other, distance, similarity`` of similar users, both ways; a sparse matrix as a table."""
+    All active users are compared with all, also those without a word in common,
+    so ``edges`` add none. Users of equal texts are compared once, by their first.
+    """
     active = written(active_users(posts, likes, least_posts, least_likes), "active-users")
     own = posts.join(active, "user", "left_semi")
-    pairs = candidates(own, edges, crowd)
-    for x in ("a", "b"):
-        pairs = pairs.join(active.withColumnRenamed("user", x), x, "left_semi")
-    near = written(distances(own, pairs).where(F.col("distance") <= threshold), "similar-users")
-    both = near.select(F.col("a").alias("user"), F.col("b").alias("other"), "distance").unionByName(near.select(F.col("b").alias("user"), F.col("a").alias("other"), "distance"))
+    pieces = written(chunks(own), "user-chunks")
+    texts = written(whole_texts(pieces), "user-texts")
+    classes = written(texts.groupBy("digest").agg(F.min("user").alias("first"), F.max("user").alias("last"), F.min_by("own", "user").alias("own"), F.min_by("sure", "user").alias("sure")), "text-classes")
+    found = written(distances(own, possible_pairs(classes, threshold), pieces).where(F.col("distance") <= threshold), "similar-texts")
+    members = texts.join(classes, "digest").select("user", "first")
+    left, right = members.toDF("user", "a"), members.toDF("other", "b")
+    near = found.join(left, "a").join(right, "b").where("user < other").select("user", "other", "distance")
+    both = near.unionByName(near.select(F.col("user").alias("other"), F.col("other").alias("user"), "distance"))
     return both.withColumn("similarity", 1 - F.col("distance"))
