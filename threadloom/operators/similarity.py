@@ -170,7 +170,8 @@ def whole_texts(pieces: DataFrame) -> DataFrame:
 
     Whatever follows the text, at least ``sure`` bytes come out.
     """
-    n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # as below: few users are spread over many tasks
+    n = max(int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(8 * pieces.select("user").distinct().count(), MOST_TASKS))
     stream = pieces.repartition(n, "user").sortWithinPartitions("user", F.asc_nulls_first("id"), "n").select("user", "size", "packed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
